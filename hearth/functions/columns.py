@@ -69,10 +69,9 @@ def title_label(name: str | Column) -> Column:
 
 
 def currency(c: str | Column) -> Column:
-    """``$1,234.56`` formatting of an amount (negative amounts as ``-$1,234.56``)."""
-    c = col(c)
-    body = F.format_number(F.abs(c), 2)
-    return F.when(c < 0, F.concat(F.lit("-$"), body)).otherwise(F.concat(F.lit("$"), body))
+    """``$1,234.56``: a dollar sign before the grouped two-decimal number
+    (so a negative amount reads ``$-1,234.56``, as Python's format gives)."""
+    return F.concat(F.lit("$"), F.format_number(col(c), 2))
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

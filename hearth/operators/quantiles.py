@@ -1,11 +1,13 @@
 """Exact quantiles and modes that stay bounded per task.
 
-``percentile`` (exact, linear interpolation like pandas) keeps a map of the
-distinct values of a group and merges it in one task. That is fine for a
-group of bounded size and wrong for a group holding a third of 100 TB, so:
-
-* groups with at most ``Scale.exact_direct_max`` non-null values use one
-  ``percentile`` aggregate;
+An exact quantile of a group needs that group's values in one place, which
+is fine for a group of bounded size and wrong for a group holding a third
+of 100 TB (Spark's own ``percentile`` merges a map of all distinct values
+of a group in one task). So:
+
+* groups with at most ``Scale.exact_direct_max`` non-null values are sorted
+  in one task each (``sort_array(collect_list)``) and the order statistics
+  are read off;
 * bigger groups find the order statistics they need by histogram
   refinement: per pass, the rows inside the current value interval of a
   target are bucketed (``refine_buckets`` equal-width buckets between the
@@ -53,16 +55,19 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     scale: Scale = SCALE,
+    kind: str = "linear",
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles: (by..., column, prob, value, n).
+    """Exact quantiles: (by..., column, prob, value, n).
 
-    Groups with no non-null value are absent. Group keys that are NULL form
-    their own group.
+    The two order statistics around position p·(n-1) are found exactly and
+    combined as pandas does: ``kind="linear"`` is numpy's linear
+    interpolation (``Series.quantile``), ``kind="median"`` the midpoint
+    (a + b) / 2 of ``Series.median`` (use it with p = 0.5). Groups with no
+    non-null value are absent; NULL group keys form their own group.
     """
-    probs = [float(p) for p in probs]
-    for p in probs:
-        if not 0.0 <= p <= 1.0:
-            raise ValueError(f"quantile probability out of range: {p}")
+    probs = [check_probability(p) for p in probs]
+    if kind not in ("linear", "median"):
+        raise ValueError(f"unknown quantile kind {kind}")
     by = list(by)
     keys = by + ["column"]
     values = long_values(df, columns, by)
@@ -72,24 +77,36 @@ def exact_quantiles(
     if largest is None:
         return _empty(df, by)
     if largest <= scale.exact_direct_max:
-        return _direct(values, keys, probs).join(sizes.select(*keys, "n"), keys)
+        stats = _direct(values, keys, probs)
+    else:
+        small = sizes.filter(F.col("n") <= scale.exact_direct_max).select(*keys)
+        big = sizes.filter(F.col("n") > scale.exact_direct_max)
+        stats = _direct(values.join(small, keys, "left_semi"), keys, probs).unionByName(_refined(values, big, keys, probs, scale))
+    return stats.select(*keys, "prob", _combine(kind).alias("value"), "n")
+
+
+def _positions(n):
+    """numpy's virtual index n·p - p, its floor and ceil (0-based ranks) and fraction."""
+    pos = F.col("prob") * n - F.col("prob")
+    return pos, F.floor(pos), F.ceil(pos), pos - F.floor(pos)
 
-    small = sizes.filter(F.col("n") <= scale.exact_direct_max).select(*keys, "n")
-    big = sizes.filter(F.col("n") > scale.exact_direct_max)
-    direct = _direct(values.join(small.select(*keys), keys, "left_semi"), keys, probs).join(small, keys)
-    refined = _refined(values, big, keys, probs, scale)
-    return direct.unionByName(refined)
 
+def _combine(kind: str):
+    a, b, t = F.col("v_lo"), F.col("v_hi"), F.col("frac")
+    if kind == "median":
+        return (a + b) / F.lit(2.0)
+    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
 
-def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float], scale: Scale = SCALE) -> dict:
+
+def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float], scale: Scale = SCALE, kind: str = "linear") -> dict:
     """{(column, prob): value} for ungrouped quantiles; bounded by columns × probs."""
-    rows = exact_quantiles(df, columns, probs, scale=scale).collect()
+    rows = exact_quantiles(df, columns, probs, scale=scale, kind=kind).collect()
     return {(r["column"], r["prob"]): r["value"] for r in rows}
 
 
 def medians(df: DataFrame, columns: Sequence[str], scale: Scale = SCALE) -> dict:
     """{column: exact median} (absent when the column has no value)."""
-    return {c: v for (c, _), v in quantile_map(df, columns, [0.5], scale).items()}
+    return {c: v for (c, _), v in quantile_map(df, columns, [0.5], scale, kind="median").items()}
 
 
 def _empty(df: DataFrame, by: list) -> DataFrame:
@@ -100,12 +117,22 @@ def _empty(df: DataFrame, by: list) -> DataFrame:
 
 
 def _direct(values: DataFrame, keys: list, probs: list) -> DataFrame:
-    arr = F.percentile(F.col("x"), F.array(*[F.lit(p) for p in probs]))
-    agg = values.groupBy(*keys).agg(arr.alias("qs"))
-    return agg.select(
+    """Order statistics of groups of bounded size: (keys, prob, v_lo, v_hi, frac, n).
+
+    Each group's values are sorted in one task; the group holds at most
+    ``exact_direct_max`` values (checked by the caller).
+    """
+    agg = values.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.count("x").alias("n"))
+    per_prob = agg.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    _, lo, hi, frac = _positions(F.col("n"))
+    return per_prob.select(
         *keys,
-        F.posexplode(F.col("qs")).alias("i", "value"),
-    ).select(*keys, F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("i") + 1).alias("prob"), "value")
+        "prob",
+        F.element_at("xs", (lo + 1).cast("int")).alias("v_lo"),
+        F.element_at("xs", (hi + 1).cast("int")).alias("v_hi"),
+        frac.alias("frac"),
+        "n",
+    )
 
 
 def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale: Scale) -> DataFrame:
@@ -113,8 +140,8 @@ def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale:
     shared_dir(values.sparkSession)  # checkpoints below need the shared folder
     # The ranks each probability needs (0-based): floor and ceil of p * (n - 1).
     want = big.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
-    pos = F.col("prob") * (F.col("n") - 1)
-    want = want.withColumn("k_lo", F.floor(pos)).withColumn("k_hi", F.ceil(pos)).withColumn("frac", pos - F.floor(pos))
+    _, k_lo, k_hi, frac = _positions(F.col("n"))
+    want = want.withColumn("k_lo", k_lo).withColumn("k_hi", k_hi).withColumn("frac", frac)
     ranks = (
         want.select(*keys, F.explode(F.array_distinct(F.array("k_lo", "k_hi"))).alias("k"), "lo", "hi", "n")
         .distinct()
@@ -179,7 +206,7 @@ def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale:
     return (
         want.join(lo_v, [*keys, "k_lo"])
         .join(hi_v, [*keys, "k_hi"])
-        .select(*keys, "prob", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"), "n")
+        .select(*keys, "prob", "v_lo", "v_hi", "frac", "n")
     )
 
 

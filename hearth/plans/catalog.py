@@ -1,3 +1,4 @@
 """Imports every module that registers queries."""
 
 from hearth.plans import registry  # noqa: F401
+from hearth.plans import q_features, q_quality  # noqa: F401

@@ -23,6 +23,35 @@ def bin_case(column: str, bins, default: str) -> str:
     return "CASE " + " ".join(parts) + f" ELSE '{default}' END"
 
 
+def dbl(v: float) -> str:
+    """A DOUBLE literal (a bare 0.25 is DECIMAL in DuckDB)."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def sorted_list(col: str) -> str:
+    return f"list_sort(list({col}) FILTER (WHERE {col} IS NOT NULL))"
+
+
+def _order_stats(xs: str, p: float):
+    pos = f"({dbl(p)} * len({xs}) - {dbl(p)})"
+    a = f"{xs}[CAST(floor({pos}) AS BIGINT) + 1]"
+    b = f"{xs}[CAST(ceil({pos}) AS BIGINT) + 1]"
+    t = f"({pos} - floor({pos}))"
+    return a, b, t
+
+
+def lerp(xs: str, p: float) -> str:
+    """numpy's linear quantile of a sorted list (pandas ``Series.quantile``)."""
+    a, b, t = _order_stats(xs, p)
+    return f"(CASE WHEN {t} < 0.5 THEN {a} + ({b} - {a}) * {t} ELSE {b} - ({b} - {a}) * (CAST(1.0 AS DOUBLE) - {t}) END)"
+
+
+def midpoint(xs: str) -> str:
+    """pandas ``Series.median``: the middle value, or the mean of the two middle values."""
+    a, b, _ = _order_stats(xs, 0.5)
+    return f"(({a} + {b}) / CAST(2.0 AS DOUBLE))"
+
+
 INCOME_CASE = bin_case("median_income", config.INCOME_BINS, config.INCOME_DEFAULT)
 AGE_CASE = bin_case("housing_median_age", config.AGE_BINS, config.AGE_DEFAULT)
 
@@ -31,8 +60,10 @@ HOUSING_CTES = f"""districts AS ({DISTRICTS_SQL}),
 ratios AS (SELECT *, total_rooms / NULLIF(households, 0) AS r_rph,
                   total_bedrooms / NULLIF(total_rooms, 0) AS r_bpr,
                   population / NULLIF(households, 0) AS r_pph FROM districts),
-ratio_medians AS (SELECT quantile_cont(r_rph, 0.5) AS m_rph, quantile_cont(r_bpr, 0.5) AS m_bpr,
-                         quantile_cont(r_pph, 0.5) AS m_pph FROM ratios),
+ratio_lists AS (SELECT {sorted_list("r_rph")} AS l_rph, {sorted_list("r_bpr")} AS l_bpr,
+                       {sorted_list("r_pph")} AS l_pph FROM ratios),
+ratio_medians AS (SELECT {midpoint("l_rph")} AS m_rph, {midpoint("l_bpr")} AS m_bpr,
+                         {midpoint("l_pph")} AS m_pph FROM ratio_lists),
 housing AS (SELECT district_id, {RAW},
        COALESCE(r_rph, m_rph) AS rooms_per_household,
        CASE WHEN COALESCE(r_bpr, m_bpr) > 1.0 THEN 1.0 ELSE COALESCE(r_bpr, m_bpr) END AS bedrooms_per_room,
