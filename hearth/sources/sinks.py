@@ -19,21 +19,27 @@ from hearth.session import scratch_path, shared_dir
 STAGES = ("raw", "interim", "processed")
 
 
-def save_stage(spark: SparkSession, df: DataFrame, stage: str, root: str | None = None) -> str:
+def save_stage(spark: SparkSession, df: DataFrame, stage: str, root: str | None = None, fmt: str = "parquet") -> str:
     """Write ``df`` as the current file of ``stage`` plus a timestamped snapshot.
 
-    The snapshot is written once from the plan; the stage copy is then read
-    from the snapshot (a plain scan), so the plan is not recomputed.
-    Returns the stage path.
+    ``fmt`` is ``parquet`` or ``csv`` (with a header). The snapshot is written
+    once from the plan; the stage copy is then read from the snapshot (a
+    plain scan), so the plan is not recomputed. Returns the stage path.
     """
     if stage not in STAGES:
         raise ValueError(f"Invalid stage: {stage}. Use one of {list(STAGES)}")
+    if fmt not in ("parquet", "csv"):
+        raise ValueError(f"Unsupported format: {fmt}")
     root = (root or f"{shared_dir(spark)}/stages").rstrip("/")
     ts = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
     snap = f"{root}/snapshots/{stage}/ts={ts}"
-    df.write.mode("overwrite").parquet(snap)
     path = f"{root}/{stage}"
-    spark.read.parquet(snap).write.mode("overwrite").parquet(path)
+    if fmt == "csv":
+        df.write.mode("overwrite").option("header", True).csv(snap)
+        spark.read.option("header", True).schema(df.schema).csv(snap).write.mode("overwrite").option("header", True).csv(path)
+    else:
+        df.write.mode("overwrite").parquet(snap)
+        spark.read.parquet(snap).write.mode("overwrite").parquet(path)
     return path
 
 
