@@ -55,22 +55,27 @@ def midpoint(xs: str) -> str:
 INCOME_CASE = bin_case("median_income", config.INCOME_BINS, config.INCOME_DEFAULT)
 AGE_CASE = bin_case("housing_median_age", config.AGE_BINS, config.AGE_DEFAULT)
 
-# districts -> ratios filled with their medians (bedrooms capped after) -> categories
-HOUSING_CTES = f"""districts AS ({DISTRICTS_SQL}),
-ratios AS (SELECT *, total_rooms / NULLIF(households, 0) AS r_rph,
+def features_ctes(source: str, out: str, p: str = "f") -> str:
+    """CTEs deriving the feature table ``out`` from ``source``: ratios filled
+    with their medians (bedrooms capped after), income and age categories."""
+    return f"""{p}_ratios AS (SELECT *, total_rooms / NULLIF(households, 0) AS r_rph,
                   total_bedrooms / NULLIF(total_rooms, 0) AS r_bpr,
-                  population / NULLIF(households, 0) AS r_pph FROM districts),
-ratio_lists AS (SELECT {sorted_list("r_rph")} AS l_rph, {sorted_list("r_bpr")} AS l_bpr,
-                       {sorted_list("r_pph")} AS l_pph FROM ratios),
-ratio_medians AS (SELECT {midpoint("l_rph")} AS m_rph, {midpoint("l_bpr")} AS m_bpr,
-                         {midpoint("l_pph")} AS m_pph FROM ratio_lists),
-housing AS (SELECT district_id, {RAW},
+                  population / NULLIF(households, 0) AS r_pph FROM {source}),
+{p}_lists AS (SELECT {sorted_list("r_rph")} AS l_rph, {sorted_list("r_bpr")} AS l_bpr,
+                       {sorted_list("r_pph")} AS l_pph FROM {p}_ratios),
+{p}_medians AS (SELECT {midpoint("l_rph")} AS m_rph, {midpoint("l_bpr")} AS m_bpr,
+                         {midpoint("l_pph")} AS m_pph FROM {p}_lists),
+{out} AS (SELECT district_id, {RAW},
        COALESCE(r_rph, m_rph) AS rooms_per_household,
        CASE WHEN COALESCE(r_bpr, m_bpr) > 1.0 THEN 1.0 ELSE COALESCE(r_bpr, m_bpr) END AS bedrooms_per_room,
        COALESCE(r_pph, m_pph) AS population_per_household,
        {INCOME_CASE} AS income_category,
        {AGE_CASE} AS age_category
-FROM ratios, ratio_medians)"""
+FROM {p}_ratios, {p}_medians)"""
+
+
+# districts -> ratios filled with their medians (bedrooms capped after) -> categories
+HOUSING_CTES = f"districts AS ({DISTRICTS_SQL}),\n" + features_ctes("districts", "housing")
 
 SUMMARY_CTE = """district_summary AS (SELECT income_category,
        AVG(median_house_value) AS avg_house_value,
