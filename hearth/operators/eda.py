@@ -136,18 +136,98 @@ def _corr_expr(a: str, b: str):
     return F.covar_pop(ca, cb) / F.nullif(den, F.lit(0.0))
 
 
+def pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete moment sums for every ordered column pair, in one pass.
+
+    Values are shifted by their column mean (one small aggregate first, which
+    also finds constant columns) for precision. Each task then forms, with
+    numpy matrix products over its Arrow batches, the p×p sums over rows where
+    both columns are present: n, Σa, Σb, Σa², Σb², Σab; one row per (task,
+    pair) is shuffled and summed. Work is O(rows·p²) in BLAS, and no task ever
+    holds more than one batch of rows.
+
+    (i, j, column_a, column_b, n, sa, sb, saa, sbb, sab, constant)
+    """
+    cols = list(cols)
+    p = len(cols)
+    stats = df.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[(F.min(c) == F.max(c)).alias(f"k{i}") for i, c in enumerate(cols)],
+    ).first()
+    shift = np.array([stats[f"m{i}"] if stats[f"m{i}"] is not None else 0.0 for i in range(p)], dtype="float64")
+    constant = [bool(stats[f"k{i}"]) if stats[f"k{i}"] is not None else True for i in range(p)]
+
+    def part(it):
+        n = np.zeros((p, p))
+        sa = np.zeros((p, p))
+        saa = np.zeros((p, p))
+        sab = np.zeros((p, p))
+        seen = False
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            seen = True
+            x = pdf.to_numpy(dtype="float64") - shift
+            present = ~np.isnan(x)
+            mf = present.astype("float64")
+            x0 = np.where(present, x, 0.0)
+            n += mf.T @ mf
+            sa += x0.T @ mf  # [i, j] = Σ a_i over rows with a_j present
+            saa += (x0 * x0).T @ mf
+            sab += x0.T @ x0
+        if seen:
+            ii, jj = np.meshgrid(np.arange(p), np.arange(p), indexing="ij")
+            yield pd.DataFrame(
+                {
+                    "i": ii.ravel().astype("int32"),
+                    "j": jj.ravel().astype("int32"),
+                    "n": n.ravel(),
+                    "sa": sa.ravel(),
+                    "sb": sa.T.ravel(),
+                    "saa": saa.ravel(),
+                    "sbb": saa.T.ravel(),
+                    "sab": sab.ravel(),
+                }
+            )
+
+    schema = "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double"
+    partial = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInPandas(part, schema)
+    sums = partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    names = F.array(*[F.lit(c) for c in cols])
+    const = F.array(*[F.lit(k) for k in constant])
+    return sums.select(
+        "i",
+        "j",
+        F.element_at(names, F.col("i") + 1).alias("column_a"),
+        F.element_at(names, F.col("j") + 1).alias("column_b"),
+        "n",
+        "sa",
+        "sb",
+        "saa",
+        "sbb",
+        "sab",
+        (F.element_at(const, F.col("i") + 1) | F.element_at(const, F.col("j") + 1)).alias("constant"),
+    )
+
+
+def _corr_from_sums():
+    n = F.col("n")
+    ma, mb = F.col("sa") / n, F.col("sb") / n
+    cov = F.col("sab") / n - ma * mb
+    va = F.col("saa") / n - ma * ma
+    vb = F.col("sbb") / n - mb * mb
+    ok = (n > 0) & ~F.col("constant") & (va > 0) & (vb > 0)
+    return F.when(ok, cov / F.sqrt(va * vb))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, key: str | None = config.KEY) -> DataFrame:
-    """Long matrix (column_a, column_b, corr) over all ordered pairs, one aggregate."""
+    """Long Pearson matrix (column_a, column_b, corr) over all ordered pairs.
+
+    Pairwise-complete like pandas; NULL where a column is constant. Two jobs
+    (means, then the one-pass pairwise sums) whatever the number of columns.
+    """
     cols = _stat_columns(df, columns, key)
-    parts = []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            e = _corr_expr(a, b)  # (b, a) reuses the same aggregate expressions
-            parts.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), e.alias("corr")))
-            if i != j:
-                parts.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), e.alias("corr")))
-    return df.agg(F.array(*parts).alias("a")).select(F.inline("a"))
+    return pairwise_sums(df, cols).select("column_a", "column_b", _corr_from_sums().alias("corr"))
 
 
 def target_correlation(df: DataFrame, target: str = config.TARGET, columns: Sequence[str] | None = None, key: str | None = config.KEY) -> DataFrame:
@@ -156,8 +236,8 @@ def target_correlation(df: DataFrame, target: str = config.TARGET, columns: Sequ
     cols = _stat_columns(df, columns, key)
     if target not in cols:
         raise ValueError(f"Target column '{target}' is not a numeric column")
-    parts = [F.struct(F.lit(c).alias("column"), _corr_expr(c, target).alias("corr")) for c in cols]
-    out = df.agg(F.array(*parts).alias("a")).select(F.inline("a"))
+    m = correlation_matrix(df, cols, key)
+    out = m.filter(F.col("column_b") == target).select(F.col("column_a").alias("column"), "corr")
     return out.orderBy(F.col("corr").desc_nulls_last(), F.col("column"))
 
 

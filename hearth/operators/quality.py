@@ -77,15 +77,22 @@ def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFram
     return df.filter(~cond) if cond is not None else df
 
 
+def missing_counts(df: DataFrame) -> tuple[int, dict]:
+    """(rows, {column: missing}) in one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(_missing(df, c)).alias(c) for c in df.columns]).first().asDict()
+    rows = row.pop("__rows")
+    return rows, row
+
+
 def columns_with_missing(df: DataFrame) -> list[str]:
-    counts = df.agg(*[F.count_if(_missing(df, c)).alias(c) for c in df.columns]).first().asDict()
+    _, counts = missing_counts(df)
     return [c for c in df.columns if counts[c] > 0]
 
 
-def fill_values(df: DataFrame, strategy: str, columns: Sequence[str], scale: Scale = SCALE) -> dict:
-    """The value each column is filled with under ``strategy`` (one job)."""
+def fill_values(df: DataFrame, strategy: str, columns: Sequence[str], scale: Scale = SCALE, max_rows: int | None = None) -> dict:
+    """The value each column is filled with under ``strategy``."""
     if strategy == "median":
-        return medians(df, columns, scale)
+        return medians(df, columns, scale, max_rows=max_rows)
     if strategy == "mean":
         row = df.agg(*[F.avg(F.when(~_missing(df, c), F.col(c))).alias(c) for c in columns]).first()
         return row.asDict()
@@ -103,14 +110,19 @@ def impute(df: DataFrame, strategy: str = config.IMPUTE_STRATEGY, columns: Seque
         return drop_missing(df, columns)
     if strategy not in ("median", "mean", "mode"):
         raise ValueError(f"Invalid strategy: {strategy}. Use 'median', 'mean', 'mode', or 'drop'")
-    targets = [c for c in (columns or columns_with_missing(df))]
+    rows = None
+    if columns:
+        targets = list(columns)
+    else:
+        rows, counts = missing_counts(df)
+        targets = [c for c in df.columns if counts[c] > 0]
     if not targets:
         return df
     if strategy in ("median", "mean"):
         bad = [c for c in targets if not isinstance(df.schema[c].dataType, T.NumericType)]
         if bad:
             raise ValueError(f"Cannot take the {strategy} of non-numeric columns: {bad}")
-    values = fill_values(df, strategy, targets, scale)
+    values = fill_values(df, strategy, targets, scale, max_rows=rows)
     return fill_with(df, values)
 
 
@@ -147,10 +159,11 @@ def iqr_bounds_steps(
     """
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n0 = base.count()  # materialises the cache; every later step holds at most n0 rows
     cur = base
     steps = []
     for c in cols:
-        q = quantile_map(cur, [c], [0.25, 0.75], scale)
+        q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
         if (c, 0.25) not in q:
             steps.append((c, None, None))
             cur = cur.filter(F.lit(False))

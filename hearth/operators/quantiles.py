@@ -56,9 +56,13 @@ def exact_quantiles(
     by: Sequence[str] = (),
     scale: Scale = SCALE,
     kind: str = "linear",
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles: (by..., column, prob, value, n).
 
+    ``max_rows``: a known upper bound on the rows of ``df`` (e.g. a count
+    taken already); at most ``exact_direct_max`` skips the size-check job.
+
     The two order statistics around position p·(n-1) are found exactly and
     combined as pandas does: ``kind="linear"`` is numpy's linear
     interpolation (``Series.quantile``), ``kind="median"`` the midpoint
@@ -71,6 +75,8 @@ def exact_quantiles(
     by = list(by)
     keys = by + ["column"]
     values = long_values(df, columns, by)
+    if max_rows is not None and max_rows <= scale.exact_direct_max:
+        return _direct(values, keys, probs).select(*keys, "prob", _combine(kind).alias("value"), "n")
     sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
 
     largest = sizes.agg(F.max("n")).first()[0]
@@ -98,15 +104,17 @@ def _combine(kind: str):
     return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
 
 
-def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float], scale: Scale = SCALE, kind: str = "linear") -> dict:
+def quantile_map(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], scale: Scale = SCALE, kind: str = "linear", max_rows: int | None = None
+) -> dict:
     """{(column, prob): value} for ungrouped quantiles; bounded by columns × probs."""
-    rows = exact_quantiles(df, columns, probs, scale=scale, kind=kind).collect()
+    rows = exact_quantiles(df, columns, probs, scale=scale, kind=kind, max_rows=max_rows).collect()
     return {(r["column"], r["prob"]): r["value"] for r in rows}
 
 
-def medians(df: DataFrame, columns: Sequence[str], scale: Scale = SCALE) -> dict:
+def medians(df: DataFrame, columns: Sequence[str], scale: Scale = SCALE, max_rows: int | None = None) -> dict:
     """{column: exact median} (absent when the column has no value)."""
-    return {c: v for (c, _), v in quantile_map(df, columns, [0.5], scale, kind="median").items()}
+    return {c: v for (c, _), v in quantile_map(df, columns, [0.5], scale, kind="median", max_rows=max_rows).items()}
 
 
 def _empty(df: DataFrame, by: list) -> DataFrame:

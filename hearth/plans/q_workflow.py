@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearth import config
 from hearth.plans import sqltext as S
+from hearth.plans.q_model import _violation_sql as violation_sql
 from hearth.plans.q_quality import DISTRICT_COLS, RAW8, iqr_chain
 from hearth.plans.registry import register
 from hearth.plans.workflow import processed_districts
@@ -26,3 +27,26 @@ def _processed_sql() -> str:
 def q_processed_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """districts -> median imputation -> sequential IQR (8 columns) -> features."""
     return processed_districts(spark, sf_dir)
+
+
+@register(
+    "stream_classify",
+    S.on_districts(
+        f"SELECT *, {S.INCOME_CASE} AS income_category, {S.AGE_CASE} AS age_category, "
+        f"{violation_sql()} AS violation FROM districts"
+    ),
+)
+def q_stream_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Districts land as parquet files; a stream classifies them micro-batch by
+    micro-batch (one file per trigger) into a file sink, which is read back."""
+    from pyspark.sql import functions as F
+
+    from hearth.session import scratch_path
+    from hearth.sources.fixtures import districts
+    from hearth.streaming import classify, district_stream, run_available
+
+    landing = scratch_path(spark, "stream", "landing")
+    districts(spark, sf_dir).repartition(4, F.col("district_id")).write.parquet(landing)
+    sink, ckpt = scratch_path(spark, "stream", "sink"), scratch_path(spark, "stream", "checkpoint")
+    run_available(classify(district_stream(spark, landing, max_files_per_trigger=1)), sink, ckpt)
+    return spark.read.parquet(sink)
