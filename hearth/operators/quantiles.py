@@ -151,46 +151,50 @@ def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale:
     _, k_lo, k_hi, frac = _positions(F.col("n"))
     want = want.withColumn("k_lo", k_lo).withColumn("k_hi", k_hi).withColumn("frac", frac)
     ranks = (
-        want.select(*keys, F.explode(F.array_distinct(F.array("k_lo", "k_hi"))).alias("k"), "lo", "hi", "n")
+        want.select(*keys, F.explode(F.array_distinct(F.array("k_lo", "k_hi"))).alias("k0"), "lo", "hi", "n")
         .distinct()
-        .withColumnRenamed("n", "cnt")
+        .select(*keys, "k0", F.col("k0").alias("k"), "lo", "hi", F.col("n").alias("cnt"))
     )
     ranks = ranks.checkpoint()
 
     done = None
-    state = ranks  # (keys, k, lo, hi, cnt): the k-th smallest value within [lo, hi] of the group
+    # (keys, k0, k, lo, hi, cnt): the group's k0-th smallest value is the k-th smallest within [lo, hi]
+    state = ranks
     for _ in range(_MAX_PASSES):
         finished = state.filter((F.col("lo") == F.col("hi")) | (F.col("cnt") <= scale.refine_collect_max))
         state = state.filter((F.col("lo") < F.col("hi")) & (F.col("cnt") > scale.refine_collect_max))
         done = finished if done is None else done.unionByName(finished)
         if state.isEmpty():
             break
-        intervals = state.select(*keys, "lo", "hi").distinct()
-        inside = _in_interval(values, intervals, keys, scale)
-        width = F.col("hi") - F.col("lo")
+
+        intervals = state.select(*[F.col(k).alias(f"g_{k}") for k in keys], F.col("lo").alias("ilo"), F.col("hi").alias("ihi")).distinct()
+        inside = _in_interval(values, intervals, keys, scale)  # (keys, x, ilo, ihi)
+        width = F.col("ihi") - F.col("ilo")
         bucket = F.least(
-            F.floor((F.col("x") - F.col("lo")) / width * F.lit(float(scale.refine_buckets))),
+            F.floor((F.col("x") - F.col("ilo")) / width * F.lit(float(scale.refine_buckets))),
             F.lit(scale.refine_buckets - 1),
         )
-        hist = inside.groupBy(*keys, "lo", "hi", bucket.alias("b")).agg(
+        hist = inside.groupBy(*keys, "ilo", "ihi", bucket.alias("b")).agg(
             F.count("x").alias("bcnt"), F.min("x").alias("blo"), F.max("x").alias("bhi")
         )
-        w = Window.partitionBy(*keys, "lo", "hi").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        w = Window.partitionBy(*keys, "ilo", "ihi").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("before", F.coalesce(F.sum("bcnt").over(w), F.lit(0)))
-        cond = [state[k].eqNullSafe(hist[k]) for k in keys] + [
-            state["lo"] == hist["lo"],
-            state["hi"] == hist["hi"],
-            state["k"] >= hist["before"],
-            state["k"] < hist["before"] + hist["bcnt"],
+        hist = hist.select(*[F.col(k).alias(f"h_{k}") for k in keys], "ilo", "ihi", "before", "bcnt", "blo", "bhi")
+        cond = [F.col(k).eqNullSafe(F.col(f"h_{k}")) for k in keys] + [
+            F.col("lo") == F.col("ilo"),
+            F.col("hi") == F.col("ihi"),
+            F.col("k") >= F.col("before"),
+            F.col("k") < F.col("before") + F.col("bcnt"),
         ]
         state = (
             state.join(hist, cond)
             .select(
-                *[state[k] for k in keys],
-                (state["k"] - hist["before"]).alias("k"),
-                hist["blo"].alias("lo"),
-                hist["bhi"].alias("hi"),
-                hist["bcnt"].alias("cnt"),
+                *keys,
+                "k0",
+                (F.col("k") - F.col("before")).alias("k"),
+                F.col("blo").alias("lo"),
+                F.col("bhi").alias("hi"),
+                F.col("bcnt").alias("cnt"),
             )
             .checkpoint()
         )
@@ -198,31 +202,36 @@ def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale:
         raise RuntimeError("quantile refinement did not converge")
 
     # Read the ranks off the final intervals.
-    single = done.filter(F.col("lo") == F.col("hi")).select(*keys, "k", F.col("lo").alias("v"))
+    single = done.filter(F.col("lo") == F.col("hi")).select(*keys, "k0", F.col("lo").alias("v"))
     multi = done.filter(F.col("lo") < F.col("hi"))
-    intervals = multi.select(*keys, "lo", "hi").distinct()
+    intervals = multi.select(*[F.col(k).alias(f"g_{k}") for k in keys], F.col("lo").alias("ilo"), F.col("hi").alias("ihi")).distinct()
     gathered = (
         _in_interval(values, intervals, keys, scale)
-        .groupBy(*keys, "lo", "hi")
+        .groupBy(*keys, "ilo", "ihi")
         .agg(F.sort_array(F.collect_list("x")).alias("xs"))  # at most refine_collect_max values each
+        .select(*[F.col(k).alias(f"h_{k}") for k in keys], "ilo", "ihi", "xs")
     )
-    picked = multi.join(gathered, [*keys, "lo", "hi"]).select(*keys, "k", F.element_at("xs", F.col("k").cast("int") + 1).alias("v"))
+    cond = [F.col(k).eqNullSafe(F.col(f"h_{k}")) for k in keys] + [F.col("lo") == F.col("ilo"), F.col("hi") == F.col("ihi")]
+    picked = multi.join(gathered, cond).select(*keys, "k0", F.element_at("xs", F.col("k").cast("int") + 1).alias("v"))
     order_stats = single.unionByName(picked)
 
-    lo_v = order_stats.select(*keys, F.col("k").alias("k_lo"), F.col("v").alias("v_lo"))
-    hi_v = order_stats.select(*keys, F.col("k").alias("k_hi"), F.col("v").alias("v_hi"))
+    lo_v = order_stats.select(*[F.col(k).alias(f"l_{k}") for k in keys], F.col("k0").alias("kl"), F.col("v").alias("v_lo"))
+    hi_v = order_stats.select(*[F.col(k).alias(f"u_{k}") for k in keys], F.col("k0").alias("ku"), F.col("v").alias("v_hi"))
     return (
-        want.join(lo_v, [*keys, "k_lo"])
-        .join(hi_v, [*keys, "k_hi"])
+        want.join(lo_v, [F.col(k).eqNullSafe(F.col(f"l_{k}")) for k in keys] + [F.col("k_lo") == F.col("kl")])
+        .join(hi_v, [F.col(k).eqNullSafe(F.col(f"u_{k}")) for k in keys] + [F.col("k_hi") == F.col("ku")])
         .select(*keys, "prob", "v_lo", "v_hi", "frac", "n")
     )
 
 
 def _in_interval(values: DataFrame, intervals: DataFrame, keys: list, scale: Scale) -> DataFrame:
-    """Rows of ``values`` inside one of the (disjoint per group) intervals."""
+    """Rows of ``values`` inside one of the (disjoint per group) intervals.
+
+    ``intervals`` has columns g_<key>..., ilo, ihi; the result (keys, x, ilo, ihi).
+    """
     side = sized_broadcast(intervals, scale.broadcast_max_rows)
-    cond = [values[k].eqNullSafe(side[k]) for k in keys] + [values["x"] >= side["lo"], values["x"] <= side["hi"]]
-    return values.join(side, cond).select(*[values[k] for k in keys], values["x"], side["lo"], side["hi"])
+    cond = [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in keys] + [F.col("x") >= F.col("ilo"), F.col("x") <= F.col("ihi")]
+    return values.join(side, cond).select(*keys, "x", "ilo", "ihi")
 
 
 def mode_values(df: DataFrame, columns: Sequence[str]) -> dict:
