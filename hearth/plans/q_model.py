@@ -129,6 +129,37 @@ def q_residual_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(R.residual_histogram(simple_predictions(spark, sf_dir), 50), ["bin_lo", "bin_hi"], 4)
 
 
+@register(
+    "prediction_bounds",
+    S.on_housing(f"SELECT LEAST(MIN({T}), MIN(prediction)) AS lo, GREATEST(MAX({T}), MAX(prediction)) AS hi FROM pred1", PREPARED_CTES),
+)
+def q_prediction_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The common range of actual and predicted values (the diagonal of the pairs view)."""
+    return R.prediction_bounds(simple_predictions(spark, sf_dir))
+
+
+def _resid_grid_sql(bins: int = 50) -> str:
+    from hearth.plans.q_stats import bin_sql
+
+    r = (
+        "r AS (SELECT CASE WHEN MIN(predicted) = MAX(predicted) THEN MIN(predicted) - 0.5 ELSE MIN(predicted) END AS xlo, "
+        "CASE WHEN MIN(predicted) = MAX(predicted) THEN MAX(predicted) + 0.5 ELSE MAX(predicted) END AS xhi, "
+        "CASE WHEN MIN(residual) = MAX(residual) THEN MIN(residual) - 0.5 ELSE MIN(residual) END AS ylo, "
+        "CASE WHEN MIN(residual) = MAX(residual) THEN MAX(residual) + 0.5 ELSE MAX(residual) END AS yhi FROM res)"
+    )
+    return S.on_housing(
+        f"SELECT {bin_sql('predicted', 'r.xlo', 'r.xhi', bins)} AS x_bin, {bin_sql('residual', 'r.ylo', 'r.yhi', bins)} AS y_bin, "
+        "COUNT(*) AS \"count\" FROM res, r GROUP BY 1, 2",
+        PREPARED_CTES + f",\nres AS (SELECT prediction AS predicted, {T} - prediction AS residual FROM pred1),\n" + r,
+    )
+
+
+@register("residual_grid", _resid_grid_sql(50))
+def q_residual_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(predicted, residual) pairs of the test rows as a 50 × 50 grid."""
+    return R.residual_grid(simple_predictions(spark, sf_dir), 50)
+
+
 # --- Spark ML pipeline (no SQL form: the multi-feature fit solves normal equations) ---
 
 
