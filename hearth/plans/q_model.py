@@ -84,7 +84,7 @@ def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ols_simple",
     S.on_housing(
         f"SELECT ROUND(REGR_SLOPE({T}, median_income), 6) AS slope, ROUND(REGR_INTERCEPT({T}, median_income), 6) AS intercept, "
-        f"ROUND(REGR_R2({T}, median_income), 6) AS r2, REGR_COUNT({T}, median_income) AS n FROM train",
+        f"ROUND(REGR_R2({T}, median_income), 6) AS r2, CAST(REGR_COUNT({T}, median_income) AS BIGINT) AS n FROM train",
         PREPARED_CTES,
     ),
 )
