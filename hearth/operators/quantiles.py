@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from hearth.config import SCALE, Scale
 from hearth.functions.columns import nan_to_null
 from hearth.operators.joins import sized_broadcast
-from hearth.session import shared_dir
+from hearth.session import materialise, shared_dir
 
 _MAX_PASSES = 64
 
@@ -85,6 +85,10 @@ def exact_quantiles(
     if largest <= scale.exact_direct_max:
         stats = _direct(values, keys, probs)
     else:
+        # Refinement scans the values once per pass: write the narrow
+        # (keys, x) form once to the shared folder instead of recomputing it.
+        values = materialise(df.sparkSession, values, "quantile-values")
+        sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).checkpoint()
         small = sizes.filter(F.col("n") <= scale.exact_direct_max).select(*keys)
         big = sizes.filter(F.col("n") > scale.exact_direct_max)
         stats = _direct(values.join(small, keys, "left_semi"), keys, probs).unionByName(_refined(values, big, keys, probs, scale))

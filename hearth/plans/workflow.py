@@ -15,7 +15,7 @@ from hearth.config import SCALE, Scale
 from hearth.operators import features as FE
 from hearth.operators import quality as Q
 from hearth.operators import regression as R
-from hearth.session import scratch_path
+from hearth.session import materialise
 from hearth.sources.fixtures import districts
 
 
@@ -27,13 +27,6 @@ def processed(raw: DataFrame, method: str = config.OUTLIER_METHOD, threshold: fl
     return FE.all_features(kept, scale=scale)
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh path of the shared folder and read it back."""
-    path = scratch_path(spark, "materialised", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def processed_districts(spark: SparkSession, sf_dir: str, scale: Scale = SCALE) -> DataFrame:
     return processed(districts(spark, sf_dir), scale=scale)
 

@@ -51,6 +51,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts, uuid.uuid4().hex[:12]])
 
 
+def materialise(spark: SparkSession, df, name: str):
+    """Write ``df`` as Parquet to a fresh path of the shared folder and read it back.
+
+    Cuts lineage and lets repeated passes read compressed columns instead of
+    recomputing the plan; survives executor loss (unlike a cache).
+    """
+    path = scratch_path(spark, "materialised", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path."""
     jvm = spark.sparkContext._jvm
@@ -63,4 +74,4 @@ def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["local_session", "shared_dir", "scratch_path", "path_exists", "is_local_path"]
+__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_exists", "is_local_path"]
