@@ -48,13 +48,15 @@ def with_ratios(
     names: Sequence[str] = tuple(RATIOS),
     fill: dict | None = None,
     scale: Scale = SCALE,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add ratio features; a zero or missing denominator (or missing numerator)
     gives the ratio's exact median over the table; bedrooms_per_room is then
     capped at 1.0 (the median is taken before the cap).
 
     ``fill`` supplies the medians (e.g. fitted ones); else one job computes
-    all requested medians together.
+    all requested medians together (``max_rows``: a known bound on the rows,
+    see ``exact_quantiles``).
     """
     for n in names:
         if n not in RATIOS:
@@ -62,7 +64,7 @@ def with_ratios(
         require_columns(df, RATIOS[n][:2])
     raw = df.select("*", *[safe_ratio(RATIOS[n][0], RATIOS[n][1]).alias(n) for n in names]) if names else df
     if fill is None:
-        fill = medians(raw, list(names), scale) if names else {}
+        fill = medians(raw, list(names), scale, max_rows=max_rows) if names else {}
     cols = []
     for c in raw.columns:
         if c in names:
@@ -108,9 +110,11 @@ def log_features(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.withColumns({f"log_{c}": F.log1p(F.col(c)) for c in present}) if present else df
 
 
-def all_features(df: DataFrame, include_log: bool = False, fill: dict | None = None, scale: Scale = SCALE) -> DataFrame:
+def all_features(
+    df: DataFrame, include_log: bool = False, fill: dict | None = None, scale: Scale = SCALE, max_rows: int | None = None
+) -> DataFrame:
     """Ratios (one shared median job), income and age categories, optional logs."""
-    out = with_ratios(df, tuple(RATIOS), fill=fill, scale=scale)
+    out = with_ratios(df, tuple(RATIOS), fill=fill, scale=scale, max_rows=max_rows)
     out = age_category(income_category(out))
     return log_features(out) if include_log else out
 

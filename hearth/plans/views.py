@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from hearth.config import SCALE, Scale
 from hearth.operators.features import all_features
 from hearth.operators.relational import district_summary
-from hearth.sources.fixtures import districts
+from hearth.sources.fixtures import districts, districts_row_bound
 
 
 def housing(spark: SparkSession, sf_dir: str, scale: Scale = SCALE) -> DataFrame:
     """The ``housing`` table: districts with the derived features (14 columns + key)."""
-    return all_features(districts(spark, sf_dir), scale=scale)
+    return all_features(districts(spark, sf_dir), scale=scale, max_rows=districts_row_bound(spark, sf_dir))
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,8 +70,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jpath).getLength())
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_exists", "is_local_path"]
+__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_bytes", "path_exists", "is_local_path"]

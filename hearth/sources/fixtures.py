@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.sources.tables import read_table
+from hearth.session import path_bytes
+from hearth.sources.tables import read_table, table_path
 
 DISTRICTS_SQL = """SELECT o.o_orderkey AS district_id,
        CAST(-124.35 AS DOUBLE) + (o.o_custkey % 1000) * CAST(0.01 AS DOUBLE) AS longitude,
@@ -80,6 +81,18 @@ def districts(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
+def districts_row_bound(spark: SparkSession, base_dir: str, max_bytes: int = 256 << 20) -> int | None:
+    """An upper bound on the rows of ``districts``: one row per order at most
+    (inner join on the order key with a per-order aggregate).
+
+    Counted only when the orders files are small (by file-system metadata);
+    for large inputs the bound could not help, so None is returned.
+    """
+    if path_bytes(spark, table_path(base_dir, "orders")) > max_bytes:
+        return None
+    return read_table(spark, base_dir, "orders").select("o_orderkey").count()
+
+
 def raw_averages(spark: SparkSession, base_dir: str) -> DataFrame:
     """Per-household averages of the districts (input of ``derive_totals``)."""
     d = districts(spark, base_dir).filter(F.col("households") > 0)
