@@ -151,3 +151,21 @@ def _zscore_sql(t: float) -> str:
 @register("outliers_zscore", _zscore_sql(3.0))
 def q_outliers_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.remove_outliers(districts(spark, sf_dir), "zscore", 3.0)
+
+
+def _iqr_single_sql(t: float) -> str:
+    bounds = ",\n".join(
+        f"b{i} AS (SELECT {S.lerp('xs', 0.25)} AS q1, {S.lerp('xs', 0.75)} AS q3 FROM (SELECT {S.sorted_list(c)} AS xs FROM districts))"
+        for i, c in enumerate(RAW8)
+    )
+    cond = " AND ".join(
+        f"{c} >= b{i}.q1 - {S.dbl(t)} * (b{i}.q3 - b{i}.q1) AND {c} <= b{i}.q3 + {S.dbl(t)} * (b{i}.q3 - b{i}.q1)" for i, c in enumerate(RAW8)
+    )
+    tables = ", ".join(f"b{i}" for i in range(len(RAW8)))
+    return f"WITH districts AS ({S.DISTRICTS_SQL}),\n{bounds}\nSELECT districts.* FROM districts, {tables} WHERE {cond}"
+
+
+@register("outliers_iqr_single_pass", _iqr_single_sql(config.OUTLIER_THRESHOLD))
+def q_outliers_iqr_single_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Opt-in: bounds of all 8 columns from the unfiltered table, one filter."""
+    return Q.remove_outliers(districts(spark, sf_dir), "iqr_single_pass", 1.5)
