@@ -116,9 +116,10 @@ ISCLOSE_ATOL = 1e-8
 class Scale:
     """Knobs that bound memory per task; none of them changes a result.
 
-    exact_direct_max: largest group (in non-null rows) whose exact quantile
-        is taken with one ``percentile`` aggregate; bigger groups are narrowed
-        by histogram refinement first.
+    exact_direct_max: most distinct values a group may have for its exact
+        quantiles to be read from one running sum over its (value, count)
+        pairs in one task; groups with more are narrowed by histogram
+        refinement first.
     refine_buckets: buckets per refinement pass.
     refine_collect_max: a refined value range is gathered (per group, sorted)
         once it holds at most this many rows.

@@ -5,10 +5,12 @@ is fine for a group of bounded size and wrong for a group holding a third
 of 100 TB (Spark's own ``percentile`` merges a map of all distinct values
 of a group in one task). So:
 
-* groups with at most ``Scale.exact_direct_max`` non-null values are sorted
-  in one task each (``sort_array(collect_list)``) and the order statistics
-  are read off;
-* bigger groups find the order statistics they need by histogram
+* duplicates are combined first (a partial/final count per group and
+  value); a group with at most ``Scale.exact_direct_max`` distinct values
+  then gets a running sum over its distinct values in one task, which
+  locates the ranks - so a hot group of few distinct values (ages, counts)
+  is exact in one pass whatever its row count;
+* groups with more distinct values find the order statistics they need by histogram
   refinement: per pass, the rows inside the current value interval of a
   target are bucketed (``refine_buckets`` equal-width buckets between the
   interval's actual min and max), bucket counts are aggregated with a
@@ -77,20 +79,24 @@ def exact_quantiles(
     values = long_values(df, columns, by)
     if max_rows is not None and max_rows <= scale.exact_direct_max:
         return _direct(values, keys, probs).select(*keys, "prob", _combine(kind).alias("value"), "n")
-    sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-
-    largest = sizes.agg(F.max("n")).first()[0]
-    if largest is None:
+    # Per group: rows, range and (approximate, ~2% error) distinct values; the
+    # direct path is bounded by distinct values, kept under the bound with margin.
+    distinct = F.approx_count_distinct("x", 0.02)
+    sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d"))
+    direct_ok = F.col("d") * 1.1 <= F.lit(scale.exact_direct_max)
+
+    widest = sizes.agg(F.max("d"), F.count(F.lit(1))).first()
+    if widest[1] == 0:
         return _empty(df, by)
-    if largest <= scale.exact_direct_max:
+    if widest[0] * 1.1 <= scale.exact_direct_max:
         stats = _direct(values, keys, probs)
     else:
         # Refinement scans the values once per pass: write the narrow
         # (keys, x) form once to the shared folder instead of recomputing it.
         values = materialise(df.sparkSession, values, "quantile-values")
-        sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).checkpoint()
-        small = sizes.filter(F.col("n") <= scale.exact_direct_max).select(*keys)
-        big = sizes.filter(F.col("n") > scale.exact_direct_max)
+        sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d")).checkpoint()
+        small = sizes.filter(direct_ok).select(*keys)
+        big = sizes.filter(~direct_ok).select(*keys, "n", "lo", "hi")
         stats = _direct(values.join(small, keys, "left_semi"), keys, probs).unionByName(_refined(values, big, keys, probs, scale))
     return stats.select(*keys, "prob", _combine(kind).alias("value"), "n")
 
@@ -129,21 +135,32 @@ def _empty(df: DataFrame, by: list) -> DataFrame:
 
 
 def _direct(values: DataFrame, keys: list, probs: list) -> DataFrame:
-    """Order statistics of groups of bounded size: (keys, prob, v_lo, v_hi, frac, n).
+    """Order statistics of groups with a bounded number of *distinct* values:
+    (keys, prob, v_lo, v_hi, frac, n).
 
-    Each group's values are sorted in one task; the group holds at most
-    ``exact_direct_max`` values (checked by the caller).
+    Duplicates are combined first (a partial/final count per (group, value)),
+    then a running sum over each group's distinct values, in value order,
+    locates the ranks: a group's task holds at most its distinct values
+    (checked by the caller), however many rows the group has.
     """
-    agg = values.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.count("x").alias("n"))
-    per_prob = agg.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    weights = values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("w"))
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = weights.select(*keys, "x", "w", F.sum("w").over(running).alias("cum"), F.sum("w").over(group).alias("n"))
+    per_prob = cum.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
     _, lo, hi, frac = _positions(F.col("n"))
-    return per_prob.select(
-        *keys,
-        "prob",
-        F.element_at("xs", (lo + 1).cast("int")).alias("v_lo"),
-        F.element_at("xs", (hi + 1).cast("int")).alias("v_hi"),
-        frac.alias("frac"),
-        "n",
+    before = F.col("cum") - F.col("w")
+    has_lo = (lo >= before) & (lo < F.col("cum"))
+    has_hi = (hi >= before) & (hi < F.col("cum"))
+    return (
+        per_prob.filter(has_lo | has_hi)
+        .groupBy(*keys, "prob")
+        .agg(
+            F.max(F.when(has_lo, F.col("x"))).alias("v_lo"),
+            F.max(F.when(has_hi, F.col("x"))).alias("v_hi"),
+            F.first(frac).alias("frac"),
+            F.first("n").alias("n"),
+        )
     )
 
 

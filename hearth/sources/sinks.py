@@ -70,7 +70,8 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, path: str | Non
     location = path or scratch_path(spark, "tables", name)
     observed.write.mode("overwrite").parquet(location)
     written = int(obs.get["rows"])
-    spark.catalog.dropTempView(name) if name in [t.name for t in spark.catalog.listTables() if t.isTemporary] else None
+    if any(t.name == name and t.isTemporary for t in spark.catalog.listTables()):
+        spark.catalog.dropTempView(name)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=location, source="parquet")
     return {"table": name, "location": location, "rows_written": written, "delta": written - before}

@@ -68,3 +68,18 @@ def test_bad_probability(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(ValueError):
         exact_quantiles(df, ["x"], [1.5])
+
+
+def test_hot_group_few_distinct_values_direct(spark):
+    # 3,000 rows, one group holds two thirds, only 12 distinct values: exact in
+    # one pass even with a bound of 40 values per group.
+    rng = np.random.default_rng(9)
+    g = np.where(np.arange(3000) < 2000, "hot", rng.choice(["a", "b"], size=3000))
+    x = rng.integers(0, 12, size=3000).astype(float)
+    pdf = pd.DataFrame({"g": g, "x": x})
+    out = exact_quantiles(spark.createDataFrame(pdf), ["x"], [0.1, 0.25, 0.5, 0.9], by=["g"], scale=TINY).toPandas()
+    for _, r in out.iterrows():
+        assert r["value"] == pdf.loc[pdf.g == r["g"], "x"].quantile(r["prob"])
+    med = exact_quantiles(spark.createDataFrame(pdf), ["x"], [0.5], by=["g"], scale=TINY, kind="median").toPandas()
+    for _, r in med.iterrows():
+        assert r["value"] == pdf.loc[pdf.g == r["g"], "x"].median()
