@@ -5,11 +5,11 @@ is fine for a group of bounded size and wrong for a group holding a third
 of 100 TB (Spark's own ``percentile`` merges a map of all distinct values
 of a group in one task). So:
 
-* duplicates are combined first (a partial/final count per group and
-  value); a group with at most ``Scale.exact_direct_max`` distinct values
-  then gets a running sum over its distinct values in one task, which
-  locates the ranks - so a hot group of few distinct values (ages, counts)
-  is exact in one pass whatever its row count;
+* a group of at most ``Scale.exact_direct_max`` rows is sorted in one task;
+* a bigger group with at most that many distinct values has its duplicates
+  combined first (partial/final count per group and value) and its sorted
+  (value, count) pairs scanned once in one task - so a hot group of few
+  distinct values (ages, counts) is exact in one pass whatever its size;
 * groups with more distinct values find the order statistics they need by histogram
   refinement: per pass, the rows inside the current value interval of a
   target are bucketed (``refine_buckets`` equal-width buckets between the
@@ -85,11 +85,13 @@ def exact_quantiles(
     sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d"))
     direct_ok = F.col("d") * 1.1 <= F.lit(scale.exact_direct_max)
 
-    widest = sizes.agg(F.max("d"), F.count(F.lit(1))).first()
-    if widest[1] == 0:
+    widest = sizes.agg(F.max("n"), F.max("d")).first()
+    if widest[0] is None:
         return _empty(df, by)
-    if widest[0] * 1.1 <= scale.exact_direct_max:
-        stats = _direct(values, keys, probs)
+    if widest[0] <= scale.exact_direct_max:
+        stats = _direct(values, keys, probs)  # every group fits by rows
+    elif widest[1] * 1.1 <= scale.exact_direct_max:
+        stats = _direct_weighted(values, keys, probs)  # big groups, few distinct values
     else:
         # Refinement scans the values once per pass: write the narrow
         # (keys, x) form once to the shared folder instead of recomputing it.
@@ -97,7 +99,7 @@ def exact_quantiles(
         sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d")).checkpoint()
         small = sizes.filter(direct_ok).select(*keys)
         big = sizes.filter(~direct_ok).select(*keys, "n", "lo", "hi")
-        stats = _direct(values.join(small, keys, "left_semi"), keys, probs).unionByName(_refined(values, big, keys, probs, scale))
+        stats = _direct_weighted(values.join(small, keys, "left_semi"), keys, probs).unionByName(_refined(values, big, keys, probs, scale))
     return stats.select(*keys, "prob", _combine(kind).alias("value"), "n")
 
 
@@ -135,33 +137,46 @@ def _empty(df: DataFrame, by: list) -> DataFrame:
 
 
 def _direct(values: DataFrame, keys: list, probs: list) -> DataFrame:
-    """Order statistics of groups with a bounded number of *distinct* values:
-    (keys, prob, v_lo, v_hi, frac, n).
+    """Order statistics of groups with a bounded number of rows:
+    (keys, prob, v_lo, v_hi, frac, n). Each group's values are sorted in one
+    task (at most ``exact_direct_max`` of them, checked by the caller)."""
+    agg = values.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.count("x").alias("n"))
+    per_prob = agg.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    _, lo, hi, frac = _positions(F.col("n"))
+    return per_prob.select(
+        *keys,
+        "prob",
+        F.element_at("xs", (lo + 1).cast("int")).alias("v_lo"),
+        F.element_at("xs", (hi + 1).cast("int")).alias("v_hi"),
+        frac.alias("frac"),
+        "n",
+    )
+
+
+def _pick(pairs, k):
+    """Value holding 0-based rank ``k`` in a sorted array of (x, w) pairs: one
+    pass with a constant-size state (running count, found value)."""
+    init = F.struct(F.lit(0).cast("bigint").alias("acc"), F.lit(None).cast("double").alias("v"))
+    return F.aggregate(
+        pairs,
+        init,
+        lambda s, e: F.struct((s["acc"] + e["w"]).alias("acc"), F.coalesce(s["v"], F.when(s["acc"] + e["w"] > k, e["x"])).alias("v")),
+        lambda s: s["v"],
+    )
+
+
+def _direct_weighted(values: DataFrame, keys: list, probs: list) -> DataFrame:
+    """Order statistics of groups with a bounded number of *distinct* values.
 
     Duplicates are combined first (a partial/final count per (group, value)),
-    then a running sum over each group's distinct values, in value order,
-    locates the ranks: a group's task holds at most its distinct values
-    (checked by the caller), however many rows the group has.
+    so a group's task holds at most its distinct values as sorted
+    (value, count) pairs - however many rows the group has.
     """
     weights = values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("w"))
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = weights.select(*keys, "x", "w", F.sum("w").over(running).alias("cum"), F.sum("w").over(group).alias("n"))
-    per_prob = cum.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    agg = weights.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("x", "w"))).alias("xs"), F.sum("w").alias("n"))
+    per_prob = agg.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
     _, lo, hi, frac = _positions(F.col("n"))
-    before = F.col("cum") - F.col("w")
-    has_lo = (lo >= before) & (lo < F.col("cum"))
-    has_hi = (hi >= before) & (hi < F.col("cum"))
-    return (
-        per_prob.filter(has_lo | has_hi)
-        .groupBy(*keys, "prob")
-        .agg(
-            F.max(F.when(has_lo, F.col("x"))).alias("v_lo"),
-            F.max(F.when(has_hi, F.col("x"))).alias("v_hi"),
-            F.first(frac).alias("frac"),
-            F.first("n").alias("n"),
-        )
-    )
+    return per_prob.select(*keys, "prob", _pick(F.col("xs"), lo).alias("v_lo"), _pick(F.col("xs"), hi).alias("v_hi"), frac.alias("frac"), "n")
 
 
 def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale: Scale) -> DataFrame:
