@@ -40,7 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     path = tempfile.mkdtemp(prefix="hearth-shared-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - a session may refuse runtime changes; the context dir suffices
+        pass
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir().rstrip("/")
 

@@ -83,3 +83,16 @@ def test_hot_group_few_distinct_values_direct(spark):
     med = exact_quantiles(spark.createDataFrame(pdf), ["x"], [0.5], by=["g"], scale=TINY, kind="median").toPandas()
     for _, r in med.iterrows():
         assert r["value"] == pdf.loc[pdf.g == r["g"], "x"].median()
+
+
+def test_mixed_paths_in_one_call(spark):
+    # group "few": 600 rows, 5 distinct values (duplicate-combined path);
+    # group "many": 300 rows, ~300 distinct values (refinement) under TINY.
+    rng = np.random.default_rng(21)
+    few = pd.DataFrame({"g": "few", "x": rng.integers(0, 5, 600).astype(float)})
+    many = pd.DataFrame({"g": "many", "x": np.round(rng.normal(0, 1, 300), 6)})
+    pdf = pd.concat([few, many], ignore_index=True)
+    out = exact_quantiles(spark.createDataFrame(pdf), ["x"], [0.25, 0.5, 0.75], by=["g"], scale=TINY).toPandas()
+    assert len(out) == 6
+    for _, r in out.iterrows():
+        assert r["value"] == pdf.loc[pdf.g == r["g"], "x"].quantile(r["prob"])
