@@ -95,8 +95,8 @@ MIN_INCOME, MAX_INCOME = 0.5, 15.0
 
 # Scoring-input rules, first failure wins (checked in this order).
 INPUT_RULE_MESSAGES: tuple[str, ...] = (
-    "Longitude should be negative for California",
-    "Latitude should be between 32 and 42 for California",
+    "Longitude should be negative",
+    "Latitude should be between 32 and 42",
     "total_rooms must be positive",
     "total_bedrooms must be positive",
     "population must be positive",
