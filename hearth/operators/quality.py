@@ -8,9 +8,10 @@ become literals of the next, fully distributed, projection or filter.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +140,15 @@ def fill_with(df: DataFrame, values: dict) -> DataFrame:
     return df.select(*out)
 
 
+class Step(NamedTuple):
+    """One outlier step: its column, bounds (None when undefined) and row condition."""
+
+    column: str
+    lower: float | None
+    upper: float | None
+    keep: Column
+
+
 def _default_outlier_columns(df: DataFrame, target: str | None, key: str | None) -> list[str]:
     return numeric_columns(df, exclude=[x for x in (target, key) if x])
 
@@ -150,7 +160,7 @@ def iqr_bounds_steps(
     target: str | None = config.TARGET,
     key: str | None = config.KEY,
     scale: Scale = SCALE,
-) -> tuple[DataFrame, list[tuple[str, float | None, float | None]]]:
+) -> tuple[DataFrame, list[Step]]:
     """Sequential IQR filter: per column, quartiles of the rows that survived
     the previous columns, keep [Q1 - t*IQR, Q3 + t*IQR] inclusive (NULL dropped).
 
@@ -158,22 +168,28 @@ def iqr_bounds_steps(
     persisted; each step costs one exact-quantile job on the filtered input.
     """
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n0 = base.count()  # materialises the cache; every later step holds at most n0 rows
-    cur = base
-    steps = []
-    for c in cols:
-        q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
-        if (c, 0.25) not in q:
-            steps.append((c, None, None))
-            cur = cur.filter(F.lit(False))
-            continue
-        q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-        iqr = q3 - q1
-        lo, hi = q1 - threshold * iqr, q3 + threshold * iqr
-        steps.append((c, lo, hi))
-        cur = cur.filter(F.col(c).between(F.lit(lo), F.lit(hi)))
-    return cur, steps
+    # Bounds need only the outlier columns: cache that narrow projection for
+    # the sequential passes, release it once the bounds are known.
+    narrow = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n0 = narrow.count()  # every later step holds at most n0 rows
+        cur, keep, steps = narrow, F.lit(True), []
+        for c in cols:
+            q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
+            if (c, 0.25) not in q:  # no value left: the step removes every row
+                cond, lo, hi = F.lit(False), None, None
+            else:
+                q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
+                lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
+                cond = F.col(c).between(F.lit(lo), F.lit(hi))
+            steps.append(Step(c, lo, hi, cond))
+            keep = keep & cond
+            cur = cur.filter(cond)
+    finally:
+        narrow.unpersist()
+    # The sequential filters are row-wise, so their conjunction on the input
+    # keeps exactly the rows the sequence keeps.
+    return df.filter(keep), steps
 
 
 def iqr_single_pass(
@@ -183,24 +199,25 @@ def iqr_single_pass(
     target: str | None = config.TARGET,
     key: str | None = config.KEY,
     scale: Scale = SCALE,
-) -> tuple[DataFrame, list[tuple[str, float | None, float | None]]]:
+) -> tuple[DataFrame, list[Step]]:
     """Opt-in variant: every column's quartiles from the *unfiltered* input in
     one quantile job, then one conjunctive filter. Two passes whatever the
     column count, but not the sequential semantics (it keeps a superset or
     different rows when columns are correlated)."""
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
     q = quantile_map(df, cols, [0.25, 0.75], scale)
-    cond, steps = F.lit(True), []
+    keep, steps = F.lit(True), []
     for c in cols:
         if (c, 0.25) not in q:
-            steps.append((c, None, None))
-            cond = F.lit(False)
+            steps.append(Step(c, None, None, F.lit(False)))
+            keep = F.lit(False)
             continue
         q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
         lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
-        steps.append((c, lo, hi))
-        cond = cond & F.col(c).between(F.lit(lo), F.lit(hi))
-    return df.filter(cond), steps
+        cond = F.col(c).between(F.lit(lo), F.lit(hi))
+        steps.append(Step(c, lo, hi, cond))
+        keep = keep & cond
+    return df.filter(keep), steps
 
 
 def zscore_steps(
@@ -209,7 +226,7 @@ def zscore_steps(
     threshold: float | None = None,
     target: str | None = config.TARGET,
     key: str | None = config.KEY,
-) -> tuple[DataFrame, list[tuple[str, float | None, float | None]]]:
+) -> tuple[DataFrame, list[Step]]:
     """Sequential z-score filter: keep |x - mean| / std < t (sample std, strict).
 
     A zero or undefined std, or a missing value, drops the row. ``threshold``
@@ -217,18 +234,24 @@ def zscore_steps(
     """
     t = config.OUTLIER_THRESHOLD if threshold is None else threshold
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
-    cur = df.persist(StorageLevel.MEMORY_AND_DISK)
-    steps = []
-    for c in cols:
-        row = cur.agg(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).first()
-        m, s = row["m"], row["s"]
-        if s is None or s == 0 or m is None:
-            steps.append((c, None, None))
-            cur = cur.filter(F.lit(False))
-            continue
-        steps.append((c, m - t * s, m + t * s))
-        cur = cur.filter(F.abs((F.col(c) - F.lit(m)) / F.lit(s)) < F.lit(t))
-    return cur, steps
+    narrow = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cur, keep, steps = narrow, F.lit(True), []
+        for c in cols:
+            row = cur.agg(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).first()
+            m, s = row["m"], row["s"]
+            if s is None or s == 0 or m is None:  # undefined z: every row goes
+                steps.append(Step(c, None, None, F.lit(False)))
+                keep = F.lit(False)
+                cur = cur.filter(F.lit(False))
+                continue
+            cond = F.abs((F.col(c) - F.lit(m)) / F.lit(s)) < F.lit(t)
+            steps.append(Step(c, m - t * s, m + t * s, cond))
+            keep = keep & cond
+            cur = cur.filter(cond)
+    finally:
+        narrow.unpersist()
+    return df.filter(keep), steps
 
 
 def remove_outliers(
@@ -268,22 +291,16 @@ def outlier_report(
     if method == "iqr":
         t = config.OUTLIER_THRESHOLD if threshold is None else threshold
         _, steps = iqr_bounds_steps(df, columns, t, target, key, scale)
+    elif method == "iqr_single_pass":
+        t = config.OUTLIER_THRESHOLD if threshold is None else threshold
+        _, steps = iqr_single_pass(df, columns, t, target, key, scale)
     elif method == "zscore":
         _, steps = zscore_steps(df, columns, threshold, target, key)
     else:
-        raise ValueError(f"Invalid method: {method}. Use 'iqr' or 'zscore'")
-    t_used = config.OUTLIER_THRESHOLD if threshold is None else threshold
-    conds, parts, acc = [], [], F.lit(True)
-    for i, (c, lo, hi) in enumerate(steps):
-        if lo is None:
-            keep = F.lit(False)
-        elif method == "iqr":
-            keep = F.col(c).between(F.lit(lo), F.lit(hi))
-        else:
-            m, s = (lo + hi) / 2, (hi - lo) / (2 * t_used)
-            keep = F.abs((F.col(c) - F.lit(m)) / F.lit(s)) < F.lit(t_used)
+        raise ValueError(f"Invalid method: {method}. Use 'iqr' or 'zscore' (or 'iqr_single_pass')")
+    parts, acc = [], F.lit(True)
+    for i, (c, lo, hi, keep) in enumerate(steps):
         acc = acc & F.coalesce(keep, F.lit(False))
-        conds.append(acc)
         parts.append(
             F.struct(
                 F.lit(i + 1).alias("step"),
