@@ -259,7 +259,9 @@ def q_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "score_details",
     S.on_housing(
-        """SELECT district_id, ROUND(p, 6) AS prediction, '$' || format('{:,.2f}', p) AS prediction_formatted,
+        "SELECT district_id, "
+        + ", ".join(f"{c} AS input_{c}" for c in FEATS)
+        + """, ROUND(p, 6) AS prediction, '$' || format('{:,.2f}', p) AS prediction_formatted,
        rooms_per_household, bedrooms_per_room, population_per_household, income_category,
        ROUND(p - mp, 6) AS diff, ROUND((p - mp) / mp * 100, 6) AS diff_pct,
        CASE WHEN p - mp > 0 THEN 'above' ELSE 'below' END AS position
