@@ -30,8 +30,9 @@ def normalise_nan(df: DataFrame) -> DataFrame:
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
-    """num / den with a zero (or NULL) denominator giving NULL (never an ANSI error)."""
-    return col(num) / F.nullif(col(den), F.lit(0.0))
+    """num / den with a zero (or NULL) denominator giving NULL (never an ANSI
+    error); a NaN input gives NULL too, so a later fill treats it as missing."""
+    return nan_to_null(col(num) / F.nullif(col(den), F.lit(0.0)))
 
 
 def half_even(c: str | Column) -> Column:

@@ -76,3 +76,12 @@ def test_ratio_recheck(spark):
     r = FE.ratio_recheck(df).first()
     assert (r["rows"], r["matching"], r["mismatching"]) == (3, 2, 1)
     assert not math.isnan(r["rows"])
+
+
+def test_nan_inputs_are_missing_for_ratios(spark):
+    df = spark.createDataFrame(
+        [(1, float("nan"), 2.0, 2.0, 1.0), (2, 4.0, 2.0, 2.0, 2.0), (3, 8.0, 2.0, 2.0, 2.0)],
+        "id int, total_rooms double, total_bedrooms double, population double, households double",
+    )
+    out = {r["id"]: r for r in FE.with_ratios(df).collect()}
+    assert out[1]["rooms_per_household"] == 3.0  # median of [2, 4]
