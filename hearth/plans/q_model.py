@@ -217,7 +217,7 @@ def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 _M = config.INPUT_RULE_MESSAGES
 
 
-def _violation_sql() -> str:
+def violation_sql() -> str:
     missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in config.BASE_FEATURES) + ")"
     any_null = " OR ".join(f"{c} IS NULL" for c in config.BASE_FEATURES)
     rules = [f"CASE WHEN {any_null} THEN 'Missing required features: ' || {missing} END"]
@@ -230,7 +230,7 @@ def _violation_sql() -> str:
     return "COALESCE(" + ", ".join(rules) + ")"
 
 
-@register("input_violations", S.on_districts(f"SELECT district_id, {_violation_sql()} AS violation FROM districts"))
+@register("input_violations", S.on_districts(f"SELECT district_id, {violation_sql()} AS violation FROM districts"))
 def q_input_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SC.input_violations(districts(spark, sf_dir)).select("district_id", "violation")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearth import config
 from hearth.plans import sqltext as S
-from hearth.plans.q_model import _violation_sql as violation_sql
+from hearth.plans.q_model import violation_sql
 from hearth.plans.q_quality import DISTRICT_COLS, RAW8, iqr_chain
 from hearth.plans.registry import register
 from hearth.plans.workflow import processed_districts

@@ -75,14 +75,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (file-system metadata only)."""
+    return path_signature(spark, path)[0]
+
+
+def path_signature(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(total bytes, latest modification time) of ``path`` from file-system metadata."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(jpath).getLength())
+    return int(fs.getContentSummary(jpath).getLength()), int(fs.getFileStatus(jpath).getModificationTime())
 
 
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_bytes", "path_exists", "is_local_path"]
+__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_bytes", "path_signature", "path_exists", "is_local_path"]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.session import path_bytes
+from hearth.session import path_signature
 from hearth.sources.tables import read_table, table_path
 
 DISTRICTS_SQL = """SELECT o.o_orderkey AS district_id,
@@ -88,9 +88,17 @@ def districts_row_bound(spark: SparkSession, base_dir: str, max_bytes: int = 256
     Counted only when the orders files are small (by file-system metadata);
     for large inputs the bound could not help, so None is returned.
     """
-    if path_bytes(spark, table_path(base_dir, "orders")) > max_bytes:
+    path = table_path(base_dir, "orders")
+    size, mtime = path_signature(spark, path)
+    if size > max_bytes:
         return None
-    return read_table(spark, base_dir, "orders").select("o_orderkey").count()
+    key = (path, size, mtime)
+    if key not in _ROW_BOUNDS:  # a count per version of the files
+        _ROW_BOUNDS[key] = read_table(spark, base_dir, "orders").select("o_orderkey").count()
+    return _ROW_BOUNDS[key]
+
+
+_ROW_BOUNDS: dict = {}
 
 
 def raw_averages(spark: SparkSession, base_dir: str) -> DataFrame:
