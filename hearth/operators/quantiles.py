@@ -103,9 +103,21 @@ def exact_quantiles(
     return stats.select(*keys, "prob", _combine(kind).alias("value"), "n")
 
 
+def pandas_q(p: float) -> float:
+    """q as pandas computes it: p·100 is handed to numpy's percentile, which
+    divides by 100 again (same floating-point steps, so positions agree to
+    the last bit)."""
+    return (p * 100.0) / 100.0
+
+
+def _prob_rows(probs: list):
+    """One struct per probability: its label and pandas' q."""
+    return F.explode(F.array(*[F.struct(F.lit(p).alias("prob"), F.lit(pandas_q(p)).alias("q")) for p in probs]))
+
+
 def _positions(n):
-    """numpy's virtual index n·p - p, its floor and ceil (0-based ranks) and fraction."""
-    pos = F.col("prob") * n - F.col("prob")
+    """numpy's linear virtual index (n - 1)·q (0-based), its floor and ceil ranks and fraction."""
+    pos = (n - 1).cast("double") * F.col("q")
     return pos, F.floor(pos), F.ceil(pos), pos - F.floor(pos)
 
 
@@ -141,7 +153,7 @@ def _direct(values: DataFrame, keys: list, probs: list) -> DataFrame:
     (keys, prob, v_lo, v_hi, frac, n). Each group's values are sorted in one
     task (at most ``exact_direct_max`` of them, checked by the caller)."""
     agg = values.groupBy(*keys).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.count("x").alias("n"))
-    per_prob = agg.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    per_prob = agg.select("*", _prob_rows(probs).alias("pq")).select("*", "pq.*").drop("pq")
     _, lo, hi, frac = _positions(F.col("n"))
     return per_prob.select(
         *keys,
@@ -174,7 +186,7 @@ def _direct_weighted(values: DataFrame, keys: list, probs: list) -> DataFrame:
     """
     weights = values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("w"))
     agg = weights.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("x", "w"))).alias("xs"), F.sum("w").alias("n"))
-    per_prob = agg.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    per_prob = agg.select("*", _prob_rows(probs).alias("pq")).select("*", "pq.*").drop("pq")
     _, lo, hi, frac = _positions(F.col("n"))
     return per_prob.select(*keys, "prob", _pick(F.col("xs"), lo).alias("v_lo"), _pick(F.col("xs"), hi).alias("v_hi"), frac.alias("frac"), "n")
 
@@ -183,7 +195,7 @@ def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale:
     """Order statistics by histogram refinement for groups larger than the direct bound."""
     shared_dir(values.sparkSession)  # checkpoints below need the shared folder
     # The ranks each probability needs (0-based): floor and ceil of p * (n - 1).
-    want = big.withColumn("prob", F.explode(F.array(*[F.lit(p) for p in probs])))
+    want = big.select("*", _prob_rows(probs).alias("pq")).select("*", "pq.*").drop("pq")
     _, k_lo, k_hi, frac = _positions(F.col("n"))
     want = want.withColumn("k_lo", k_lo).withColumn("k_hi", k_hi).withColumn("frac", frac)
     ranks = (

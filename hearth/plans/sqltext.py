@@ -33,7 +33,8 @@ def sorted_list(col: str) -> str:
 
 
 def _order_stats(xs: str, p: float):
-    pos = f"({dbl(p)} * len({xs}) - {dbl(p)})"
+    q = (p * 100.0) / 100.0  # pandas' round trip through percent
+    pos = f"(CAST(len({xs}) - 1 AS DOUBLE) * {dbl(q)})"  # numpy's linear virtual index
     a = f"{xs}[CAST(floor({pos}) AS BIGINT) + 1]"
     b = f"{xs}[CAST(ceil({pos}) AS BIGINT) + 1]"
     t = f"({pos} - floor({pos}))"
