@@ -50,3 +50,32 @@ def q_stream_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, ckpt = scratch_path(spark, "stream", "sink"), scratch_path(spark, "stream", "checkpoint")
     run_available(classify(district_stream(spark, landing, max_files_per_trigger=1)), sink, ckpt)
     return spark.read.parquet(sink)
+
+
+@register("stream_score")
+def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 11-feature pipeline fitted on the train districts scores the
+    districts as they land (one file per micro-batch); ratio inputs use the
+    medians fitted on the housing table; invalid rows keep their violation."""
+    from pyspark.sql import functions as F
+
+    from hearth.operators import regression as R
+    from hearth.operators.features import RATIOS
+    from hearth.operators.quantiles import medians
+    from hearth.plans.views import housing
+    from hearth.session import scratch_path
+    from hearth.sources.fixtures import districts
+    from hearth.streaming import district_stream, run_available, score_stream
+
+    h = housing(spark, sf_dir)
+    prepared, feats = R.prepare_features(h)
+    train, _ = R.train_test_split(prepared)
+    model = R.fit_ols(train, feats)
+    d = districts(spark, sf_dir)
+    ratios = d.select(*[(F.col(a) / F.nullif(F.col(b), F.lit(0.0))).alias(n) for n, (a, b, _) in RATIOS.items()])
+    fitted = medians(ratios, list(RATIOS))
+    landing = scratch_path(spark, "stream", "landing")
+    d.repartition(4, F.col("district_id")).write.parquet(landing)
+    sink, ckpt = scratch_path(spark, "stream", "sink"), scratch_path(spark, "stream", "checkpoint")
+    run_available(score_stream(district_stream(spark, landing, max_files_per_trigger=1), model, fitted), sink, ckpt)
+    return spark.read.parquet(sink).select("district_id", "prediction", "violation")

@@ -36,6 +36,22 @@ def classify(df: DataFrame) -> DataFrame:
     return SC.input_violations(FE.age_category(FE.income_category(df)))
 
 
+def score_stream(df: DataFrame, model, fitted_medians: dict) -> DataFrame:
+    """Score a stream of district rows with a fitted pipeline.
+
+    Rows failing an input rule keep their ``violation`` and get no
+    prediction (nothing is dropped); valid rows get derived inputs with the
+    *fitted* ratio medians (a stream has no batch median) and a prediction.
+    Stateless: every micro-batch is scored independently.
+    """
+    checked = SC.input_violations(df)
+    valid = checked.filter("violation IS NULL")
+    scored = model.transform(SC.scoring_inputs(valid, fill=fitted_medians))
+    keep = [c for c in scored.columns if c not in ("features_raw", "features_scaled")]
+    rejected = checked.filter("violation IS NOT NULL")
+    return scored.select(*keep).unionByName(rejected, allowMissingColumns=True)
+
+
 def in_box(df: DataFrame, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
     return rel.filter_by_location(df, min_lat, max_lat, min_lon, max_lon)
 

@@ -20,3 +20,26 @@ def test_stream_equals_batch(spark, small_dir):
     run_available(in_box(classify(district_stream(spark, landing)), 33.0, 40.0, -124.0, -115.0), sink, ckpt)
     assert spark.read.parquet(sink).count() == exp.count()
     assert got.filter(F.col("violation").isNotNull()).count() > 0
+
+
+def test_stream_scoring_matches_batch(spark, small_dir):
+    from hearth.operators import regression as R
+    from hearth.operators import scoring as SC
+    from hearth.plans.views import housing
+    from hearth.streaming import score_stream
+
+    prepared, feats = R.prepare_features(housing(spark, small_dir))
+    model = R.fit_ols(R.train_test_split(prepared)[0], feats)
+    fitted = {"rooms_per_household": 5.0, "bedrooms_per_room": 0.2, "population_per_household": 3.0}
+    d = districts(spark, small_dir)
+    landing = scratch_path(spark, "t-landing2")
+    d.repartition(2, "district_id").write.parquet(landing)
+    sink, ckpt = scratch_path(spark, "t-sink2"), scratch_path(spark, "t-ckpt2")
+    run_available(score_stream(district_stream(spark, landing, max_files_per_trigger=1), model, fitted), sink, ckpt)
+    got = {r["district_id"]: (r["prediction"], r["violation"]) for r in spark.read.parquet(sink).collect()}
+    assert len(got) == d.count()
+    valid, bad = SC.split_valid(d)
+    exp = {r["district_id"]: r["prediction"] for r in model.transform(SC.scoring_inputs(valid, fill=fitted)).collect()}
+    for k, p in exp.items():
+        assert got[k][0] == p and got[k][1] is None
+    assert all(got[r["district_id"]][0] is None and got[r["district_id"]][1] for r in bad.collect())
