@@ -304,6 +304,14 @@ def column_center(df: DataFrame, column: str, scale: Scale = SCALE) -> DataFrame
     return df.agg(F.avg(column).alias("mean"), F.lit(med).cast("double").alias("median"))
 
 
+def scatter_points(df: DataFrame, x: str = "longitude", y: str = "latitude", colour: str | None = None, key: str | None = config.KEY) -> DataFrame:
+    """The points of a scatter view: (key, x, y[, colour]) for rows with both
+    coordinates - a projection; ``scatter_grid`` is its aggregated form."""
+    require_columns(df, [x, y] + ([colour] if colour else []))
+    cols = ([key] if key and key in df.columns else []) + [x, y] + ([colour] if colour else [])
+    return df.select(*cols).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+
+
 def scatter_grid(df: DataFrame, x: str = "longitude", y: str = "latitude", colour: str | None = None, bins: int = 50) -> DataFrame:
     """Scatter data as a bins × bins grid: (x_bin, y_bin, count[, colour_mean]).
 

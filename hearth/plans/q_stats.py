@@ -235,6 +235,14 @@ def grid_sql(x: str, y: str, colour: str | None, bins: int) -> str:
     )
 
 
+@register(
+    "scatter_points",
+    S.on_housing(f"SELECT district_id, longitude, latitude, {T} FROM housing WHERE longitude IS NOT NULL AND latitude IS NOT NULL"),
+)
+def q_scatter_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return eda.scatter_points(housing(spark, sf_dir), "longitude", "latitude", T)
+
+
 @register("scatter_grid", grid_sql("longitude", "latitude", None, 50))
 def q_scatter_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eda.scatter_grid(housing(spark, sf_dir), "longitude", "latitude", None, 50)
