@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from hearth import config
 from hearth.config import SCALE, Scale
-from hearth.functions.columns import numeric_columns, require_columns
+from hearth.functions.columns import nan_to_null, numeric_columns, require_columns
 from hearth.operators.joins import sized_broadcast
 from hearth.operators.quantiles import exact_quantiles, medians
 
@@ -363,44 +363,47 @@ def pair_grid(df: DataFrame, columns: Sequence[str] = config.PAIR_COLUMNS, hue:
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
-def _kde_partials(df: DataFrame, specs: dict, value_cols: Sequence[str], group_col: str | None) -> DataFrame:
-    """Per partition, Gaussian-kernel sums on each grid; then summed per grid point.
+def _kde_sums(long: DataFrame, specs: dict, gtype: str) -> DataFrame:
+    """Gaussian-kernel sums on each grid, from weighted values.
 
-    ``specs`` maps (column, group) -> (lo, step, h, points). Work per task is
-    (distinct values in the task) × points, in numpy chunks; the shuffle
-    carries one partial per (task, column, group, point).
+    ``long`` has (ci int, grp, x double, w bigint): column index, group, value
+    and how many rows hold it; ``specs`` maps (ci, grp) -> (lo, step, h,
+    points). Per task, values are de-duplicated and evaluated against the grid
+    in numpy chunks; one partial per (task, column, group, point) is shuffled
+    and summed. Work is (distinct values per task) × points.
     """
     chunk = 2048
 
     def partial(it):
         acc: dict = {}
         for pdf in it:
-            groups = [(None, pdf)] if group_col is None else list(pdf.groupby(group_col, dropna=False))
-            for g, part in groups:
-                gk = None if group_col is None else g
-                for c in value_cols:
-                    spec = specs.get((c, gk))
-                    if spec is None:
-                        continue
-                    lo, step, h, points = spec
-                    x = part[c].to_numpy(dtype="float64")
-                    x = x[~np.isnan(x)]
-                    if x.size == 0:
-                        continue
-                    vals, cnt = np.unique(x, return_counts=True)
-                    grid = lo + np.arange(points, dtype="float64") * step
-                    s = acc.setdefault((c, gk), np.zeros(points))
-                    for k in range(0, vals.size, chunk):
-                        u = (grid[None, :] - vals[k : k + chunk, None]) / h
-                        s += (cnt[k : k + chunk, None] * np.exp(-0.5 * u * u)).sum(axis=0)
-        for (c, gk), s in acc.items():
-            yield pd.DataFrame({"column": c, "grp": gk, "point": np.arange(len(s), dtype="int32"), "s": s})
-
-    gtype = "string" if group_col is None else df.schema[group_col].dataType.simpleString()
-    cols = list(value_cols) + ([group_col] if group_col else [])
-    sel = df.select(*[F.col(c).cast("double").alias(c) if c in value_cols else F.col(c) for c in cols])
-    schema = f"column string, grp {gtype}, point int, s double"
-    return sel.mapInPandas(partial, schema).groupBy("column", "grp", "point").agg(F.sum("s").alias("s"))
+            if len(pdf) == 0:
+                continue
+            for (ci, g), part in pdf.groupby(["ci", "grp"], sort=False):
+                spec = specs.get((int(ci), g))
+                if spec is None:
+                    continue
+                lo, step, h, points = spec
+                vals, inv = np.unique(part["x"].to_numpy(dtype="float64"), return_inverse=True)
+                wts = np.bincount(inv.ravel(), weights=part["w"].to_numpy(dtype="float64"))
+                grid = lo + np.arange(points, dtype="float64") * step
+                s = acc.setdefault((int(ci), g), np.zeros(points))
+                for k in range(0, vals.size, chunk):
+                    u = (grid[None, :] - vals[k : k + chunk, None]) / h
+                    s += (wts[k : k + chunk, None] * np.exp(-0.5 * u * u)).sum(axis=0)
+        for (ci, g), s in acc.items():
+            yield pd.DataFrame({"ci": np.int32(ci), "grp": g, "point": np.arange(len(s), dtype="int32"), "s": s})
+
+    schema = f"ci int, grp {gtype}, point int, s double"
+    return long.mapInPandas(partial, schema).groupBy("ci", "grp", "point").agg(F.sum("s").alias("s"))
+
+
+def _weighted(long: DataFrame, combine: bool) -> DataFrame:
+    """(ci, grp, x, w): duplicates combined by a partial/final count when
+    ``combine`` (few distinct values), else one row per value with w = 1."""
+    if combine:
+        return long.groupBy("ci", "grp", "x").agg(F.count(F.lit(1)).alias("w"))
+    return long.withColumn("w", F.lit(1).cast("bigint"))
 
 
 def density(df: DataFrame, columns: Sequence[str] | None = None, points: int = 1000) -> DataFrame:
@@ -408,18 +411,22 @@ def density(df: DataFrame, columns: Sequence[str] | None = None, points: int = 1
     grid points spanning [min - range/2, max + range/2].
 
     (column, point, x, density). Absent columns are skipped; a column with
-    fewer than two values or zero spread has no density.
+    fewer than two values or zero spread has no density. A column with at
+    most a quarter as many distinct values as rows (approximate count, same
+    job as the moments) has its duplicates combined before the kernels.
     """
     cols = [c for c in (columns if columns is not None else config.DENSITY_COLUMNS) if c in df.columns]
+    empty = "column string, point int, x double, density double"
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, point int, x double, density double")
+        return df.sparkSession.createDataFrame([], empty)
     row = df.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
         *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)],
         *[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(cols)],
         *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(cols)],
+        *[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(cols)],
     ).first()
-    specs, norms = {}, []
+    specs, norms, few, many = {}, [], [], []
     for i, c in enumerate(cols):
         n, s, lo, hi = row[f"n{i}"], row[f"s{i}"], row[f"lo{i}"], row[f"hi{i}"]
         if n < 2 or not s:
@@ -428,13 +435,19 @@ def density(df: DataFrame, columns: Sequence[str] | None = None, points: int = 1
         rng = hi - lo
         g0, g1 = lo - 0.5 * rng, hi + 0.5 * rng
         step = (g1 - g0) / (points - 1)
-        specs[(c, None)] = (g0, step, h, points)
-        norms.append((c, g0, step, n * h * _SQRT_2PI))
+        specs[(i, "")] = (g0, step, h, points)
+        norms.append((i, c, g0, step, n * h * _SQRT_2PI))
+        (few if row[f"d{i}"] * 4 <= n else many).append(i)
     if not specs:
-        return df.sparkSession.createDataFrame([], "column string, point int, x double, density double")
-    sums = _kde_partials(df, specs, [c for c, _ in specs], None)
-    p = df.sparkSession.createDataFrame(norms, "column string, g0 double, step double, norm double")
-    return sums.join(F.broadcast(p), "column").select(
+        return df.sparkSession.createDataFrame([], empty)
+    idx = sorted(few + many)
+    cells = F.array(*[F.struct(F.lit(i).alias("ci"), F.lit("").alias("grp"), nan_to_null(F.col(cols[i]).cast("double")).alias("x")) for i in idx])
+    long = df.select(F.explode(cells).alias("e")).select("e.*").filter(F.col("x").isNotNull())
+    parts = [_weighted(long.filter(F.col("ci").isin(part)), combine) for part, combine in ((few, True), (many, False)) if part]
+    weighted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    sums = _kde_sums(weighted, specs, "string")
+    p = df.sparkSession.createDataFrame(norms, "ci int, column string, g0 double, step double, norm double")
+    return sums.join(F.broadcast(p), "ci").select(
         "column", "point", (F.col("g0") + F.col("point") * F.col("step")).alias("x"), (F.col("s") / F.col("norm")).alias("density")
     )
 
@@ -442,13 +455,17 @@ def density(df: DataFrame, columns: Sequence[str] | None = None, points: int = 1
 def violin_data(df: DataFrame, x: str = "age_category", y: str = "median_income", points: int = 100, cut: float = 2.0, max_groups: int = 10_000) -> DataFrame:
     """Per-category KDE of y (Scott bandwidth, ``points`` grid points over
     [min - cut·h, max + cut·h]): (category, point, y, density). The inner box
-    is ``box_stats(df, x, y)``.
+    is ``box_stats(df, x, y)``. Duplicates are combined first when the
+    categories hold at most a quarter as many distinct values as rows.
     """
     require_columns(df, [x, y])
-    stats = (
-        df.filter(F.col(x).isNotNull())
-        .groupBy(x)
-        .agg(F.count(y).alias("n"), F.stddev_samp(y).alias("s"), F.min(y).cast("double").alias("lo"), F.max(y).cast("double").alias("hi"))
+    base = df.filter(F.col(x).isNotNull())
+    stats = base.groupBy(x).agg(
+        F.count(y).alias("n"),
+        F.stddev_samp(y).alias("s"),
+        F.min(y).cast("double").alias("lo"),
+        F.max(y).cast("double").alias("hi"),
+        F.approx_count_distinct(y, 0.05).alias("d"),
     )
     rows = stats.limit(max_groups + 1).collect()
     if len(rows) > max_groups:
@@ -460,12 +477,14 @@ def violin_data(df: DataFrame, x: str = "age_category", y: str = "median_income"
         h = r["s"] * r["n"] ** (-0.2)
         g0, g1 = r["lo"] - cut * h, r["hi"] + cut * h
         step = (g1 - g0) / (points - 1)
-        specs[(y, r[x])] = (g0, step, h, points)
+        specs[(0, r[x])] = (g0, step, h, points)
         norms.append((r[x], g0, step, r["n"] * h * _SQRT_2PI))
     gtype = df.schema[x].dataType.simpleString()
     if not specs:
         return df.sparkSession.createDataFrame([], f"category {gtype}, point int, y double, density double")
-    sums = _kde_partials(df.filter(F.col(x).isNotNull()), specs, [y], x)
+    combine = sum(r["d"] for r in rows) * 4 <= sum(r["n"] for r in rows)
+    long = base.select(F.lit(0).alias("ci"), F.col(x).alias("grp"), nan_to_null(F.col(y).cast("double")).alias("x")).filter(F.col("x").isNotNull())
+    sums = _kde_sums(_weighted(long, combine), specs, gtype)
     p = df.sparkSession.createDataFrame(norms, f"grp {gtype}, g0 double, step double, norm double")
     return sums.join(F.broadcast(p), "grp").select(
         F.col("grp").alias("category"), "point", (F.col("g0") + F.col("point") * F.col("step")).alias("y"), (F.col("s") / F.col("norm")).alias("density")
