@@ -21,8 +21,9 @@ from hearth.sources.fixtures import districts
 
 def processed(raw: DataFrame, method: str = config.OUTLIER_METHOD, threshold: float | None = None, scale: Scale = SCALE) -> DataFrame:
     """raw -> impute (median, only if anything is missing) -> outliers -> features."""
-    missing = Q.columns_with_missing(raw)
-    cleaned = Q.impute(raw, config.IMPUTE_STRATEGY, columns=missing, scale=scale) if missing else raw
+    rows, counts = Q.missing_counts(raw)
+    missing = [c for c in raw.columns if counts[c] > 0]
+    cleaned = Q.impute(raw, config.IMPUTE_STRATEGY, columns=missing, scale=scale, max_rows=rows) if missing else raw
     kept = Q.remove_outliers(cleaned, method, threshold, scale=scale)
     return FE.all_features(kept, scale=scale)
 
@@ -76,8 +77,9 @@ def run_all(spark: SparkSession, sf_dir: str, out_root: str | None = None, scale
     raw = districts(spark, sf_dir)
     out["raw"] = sinks.save_stage(spark, raw, "raw", root=f"{root}/data")
     raw = spark.read.parquet(out["raw"])
-    missing = Q.columns_with_missing(raw)
-    cleaned = Q.impute(raw, config.IMPUTE_STRATEGY, columns=missing, scale=scale) if missing else raw
+    rows, counts = Q.missing_counts(raw)
+    missing = [c for c in raw.columns if counts[c] > 0]
+    cleaned = Q.impute(raw, config.IMPUTE_STRATEGY, columns=missing, scale=scale, max_rows=rows) if missing else raw
     kept = Q.remove_outliers(cleaned, config.OUTLIER_METHOD, config.OUTLIER_THRESHOLD, scale=scale)
     out["interim"] = sinks.save_stage(spark, kept, "interim", root=f"{root}/data")
     interim = spark.read.parquet(out["interim"])
