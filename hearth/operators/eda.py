@@ -395,7 +395,19 @@ def _kde_sums(long: DataFrame, specs: dict, gtype: str) -> DataFrame:
             yield pd.DataFrame({"ci": np.int32(ci), "grp": g, "point": np.arange(len(s), dtype="int32"), "s": s})
 
     schema = f"ci int, grp {gtype}, point int, s double"
-    return long.mapInPandas(partial, schema).groupBy("ci", "grp", "point").agg(F.sum("s").alias("s"))
+    return spread_small(long).mapInPandas(partial, schema).groupBy("ci", "grp", "point").agg(F.sum("s").alias("s"))
+
+
+def spread_small(df: DataFrame, max_bytes: int = 256 << 20) -> DataFrame:
+    """Round-robin ``df`` over the cluster's default parallelism when the
+    optimizer estimates it small: CPU-heavy per-value work (kernels) then
+    uses every core even after AQE merged a small shuffle into few
+    partitions. Large inputs already have many partitions and are left as
+    they are (no extra shuffle)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _weighted(long: DataFrame, combine: bool) -> DataFrame:
