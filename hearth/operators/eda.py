@@ -19,6 +19,7 @@ from hearth import config
 from hearth.config import SCALE, Scale
 from hearth.functions.columns import nan_to_null, numeric_columns, require_columns
 from hearth.operators.joins import sized_broadcast
+from hearth.operators.partitioning import spread_small
 from hearth.operators.quantiles import exact_quantiles, medians
 
 AGGREGATIONS = ("mean", "sum", "count", "median")
@@ -398,18 +399,6 @@ def _kde_sums(long: DataFrame, specs: dict, gtype: str) -> DataFrame:
     return spread_small(long).mapInPandas(partial, schema).groupBy("ci", "grp", "point").agg(F.sum("s").alias("s"))
 
 
-def spread_small(df: DataFrame, max_bytes: int = 256 << 20) -> DataFrame:
-    """Round-robin ``df`` over the cluster's default parallelism when the
-    optimizer estimates it small: CPU-heavy per-value work (kernels) then
-    uses every core even after AQE merged a small shuffle into few
-    partitions. Large inputs already have many partitions and are left as
-    they are (no extra shuffle)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > max_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def _weighted(long: DataFrame, combine: bool) -> DataFrame:
     """(ci, grp, x, w): duplicates combined by a partial/final count when
     ``combine`` (few distinct values), else one row per value with w = 1."""

@@ -1,0 +1,21 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, max_bytes: int = 256 << 20) -> DataFrame:
+    """Round-robin ``df`` over the cluster's default parallelism when the
+    optimizer estimates it small: CPU-heavy work per row (kernels, model
+    fitting passes) then uses every core even after AQE merged a small
+    shuffle into few partitions. Large inputs already have many partitions
+    and are left as they are (no extra shuffle)."""
+    if estimated_bytes(df) > max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
