@@ -96,3 +96,12 @@ def test_missing_and_duplicates(spark):
     assert (d["rows"], d["duplicates"]) == (4, 1)
     prof = Q.table_profile(df).collect()
     assert [(r["column"], r["rows"], r["nulls"]) for r in prof] == [("a", 4, 1), ("b", 4, 2)]
+
+
+def test_zscore_report_matches_pandas(data):
+    pdf, df = data
+    rep = Q.outlier_report(df, "zscore", 2.0).orderBy("step").collect()
+    after_a = _pandas_z(pdf, ["a"], 2.0)
+    after_ab = _pandas_z(pdf, ["a", "b"], 2.0)
+    assert [r["rows_kept"] for r in rep] == [len(after_a), len(after_ab)]
+    assert rep[-1]["rows_removed"] == len(pdf) - len(after_ab)
