@@ -8,10 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "hearth") -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "hearth", extra: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on, UTC)."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
