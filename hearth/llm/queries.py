@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontaminate, lang_ppm, mixing, sharding, simhash_gph
+from hearth.llm import chat_format, decontaminate, lang_ppm, line_dedup, mixing, multi_index, sharding, simhash_gph, suffix_dedup, toxicity
 from hearth.llm.common import materialise
 
 
@@ -32,6 +32,29 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without the 400-byte strings that occur elsewhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs, length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
+    model = toxicity.train(docs, labels)
+    scored = toxicity.score(docs.select("doc_id", "text", toxicity.held_out().alias("held_out")), model)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", "held_out", "score", predicted.alias("predicted"), F.size("toxic_spans").alias("toxic_sentences"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,8 +78,22 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "source", "rate", "copies")
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without the lines that their sites repeat."""
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"), max_ratio=0.3, min_pages=3)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_language_id, op6_decontaminate, op7_simhash_dedup, op8_mixing)}
+    every = (
+        op1_sharding, op2_language_id, op3_suffix_dedup, op4_toxicity, op5_chat_format, op6_decontaminate,
+        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup,
+    )
+    return {f.__name__: f for f in every}
 
 
 #: DuckDB statements over the same tables.
@@ -87,5 +124,44 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+OP5_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) - 1 AS pos
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (
+  SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY pos) AS turns FROM t GROUP BY conv_id
+), kept AS (
+  SELECT min(conv_id) AS conv_id, n, count(*) AS copies, turns FROM c GROUP BY n, turns
+), maximal AS (
+  SELECT k.* FROM kept k WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.n > k.n AND c.turns[1 : k.n] = k.turns)
+)
+SELECT m.conv_id, CAST(pos // 4096 AS INTEGER) AS part, CAST(any_value(m.n) AS BIGINT) AS n_turns, CAST(any_value(m.copies) AS BIGINT) AS copies,
+       string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '' ORDER BY pos) AS chat
+FROM maximal m JOIN t ON t.conv_id = m.conv_id GROUP BY m.conv_id, pos // 4096
+"""
+
+OP10_SQL = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS k, page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'), '[ \t\r\n\f]+', ' ', 'g'),
+      '(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>', chr(10), 'g'),
+      '<[^>]*>', '', 'g') AS body
+  FROM pages
+), l AS (
+  SELECT k, page_id, host, list_filter(list_transform(string_split(body, chr(10)), lambda s: trim(regexp_replace(s, ' +', ' ', 'g'))), lambda s: s <> '') AS lines FROM p
+), e AS (
+  SELECT k, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM l
+), f AS (
+  SELECT host, line FROM (SELECT host, line, count(DISTINCT k) AS n FROM e WHERE host IS NOT NULL GROUP BY host, line)
+  JOIN (SELECT host, count(*) AS pages FROM l GROUP BY host) USING (host) WHERE n >= 3 AND n > 0.3 * pages
+), kept AS (
+  SELECT k, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM e WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.host = e.host AND f.line = e.line) GROUP BY k
+)
+SELECT page_id, host, CAST(len(lines) AS INTEGER) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS INTEGER) AS n_dropped, coalesce(text, '') AS text
+FROM l LEFT JOIN kept USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": OP6_SQL}
+    return {"op5_chat_format": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_line_dedup": OP10_SQL}
