@@ -6,7 +6,7 @@ defaults below are the district-table conventions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values (must stay equal to the analysed application's settings) ---
 
@@ -123,14 +123,14 @@ class Scale:
     refine_buckets: buckets per refinement pass.
     refine_collect_max: a refined value range is gathered (per group, sorted)
         once it holds at most this many rows.
-    broadcast_max_rows: a side of a join is broadcast only below this row count.
+    broadcast_max_bytes: a side of a join is broadcast only if it was written in
+        at most this many bytes.
     """
 
     exact_direct_max: int = 1_000_000
     refine_buckets: int = 4096
     refine_collect_max: int = 100_000
-    broadcast_max_rows: int = 1_000_000
-    extra: dict = field(default_factory=dict)
+    broadcast_max_bytes: int = 32 << 20
 
 
 SCALE = Scale()

@@ -75,14 +75,18 @@ def exact_quantiles(
     if kind not in ("linear", "median"):
         raise ValueError(f"unknown quantile kind {kind}")
     by = list(by)
-    keys = by + ["column"]
-    values = long_values(df, columns, by)
+    # Group columns get names of their own, so they never clash with the columns used below.
+    inner = [f"_by{i}" for i in range(len(by))]
+    keys = inner + ["column"]
+    values = long_values(df.select(*[F.col(b).alias(i) for b, i in zip(by, inner)], *columns), columns, inner)
+    shown = [F.col(i).alias(b) for b, i in zip(by, inner)] + [F.col("column"), F.col("prob"), _combine(kind).alias("value"), F.col("n")]
     if max_rows is not None and max_rows <= scale.exact_direct_max:
-        return _direct(values, keys, probs).select(*keys, "prob", _combine(kind).alias("value"), "n")
+        return _direct(values, keys, probs).select(*shown)
     # Per group: rows, range and (approximate, ~2% error) distinct values; the
     # direct path is bounded by distinct values, kept under the bound with margin.
     distinct = F.approx_count_distinct("x", 0.02)
-    sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d"))
+    shared_dir(df.sparkSession)  # checkpoints need the shared folder
+    sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d")).checkpoint()
     direct_ok = F.col("d") * 1.1 <= F.lit(scale.exact_direct_max)
 
     widest = sizes.agg(F.max("n"), F.max("d")).first()
@@ -96,11 +100,13 @@ def exact_quantiles(
         # Refinement scans the values once per pass: write the narrow
         # (keys, x) form once to the shared folder instead of recomputing it.
         values = materialise(df.sparkSession, values, "quantile-values")
-        sizes = values.groupBy(*keys).agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), distinct.alias("d")).checkpoint()
-        small = sizes.filter(direct_ok).select(*keys)
         big = sizes.filter(~direct_ok).select(*keys, "n", "lo", "hi")
-        stats = _direct_weighted(values.join(small, keys, "left_semi"), keys, probs).unionByName(_refined(values, big, keys, probs, scale))
-    return stats.select(*keys, "prob", _combine(kind).alias("value"), "n")
+        # The big groups are few; dropping them by a broadcast anti-join keeps
+        # their rows from being shuffled. NULL keys match NULL keys.
+        named = sized_broadcast(big.select(*[F.col(k).alias(f"b_{k}") for k in keys]), scale.broadcast_max_bytes)
+        rest = values.join(named, [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in keys], "left_anti")
+        stats = _direct_weighted(rest, keys, probs).unionByName(_refined(values, big, keys, probs, scale))
+    return stats.select(*shown)
 
 
 def pandas_q(p: float) -> float:
@@ -125,7 +131,7 @@ def _combine(kind: str):
     a, b, t = F.col("v_lo"), F.col("v_hi"), F.col("frac")
     if kind == "median":
         return (a + b) / F.lit(2.0)
-    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
+    return F.when(a == b, a).when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
 
 
 def quantile_map(
@@ -191,6 +197,25 @@ def _direct_weighted(values: DataFrame, keys: list, probs: list) -> DataFrame:
     return per_prob.select(*keys, "prob", _pick(F.col("xs"), lo).alias("v_lo"), _pick(F.col("xs"), hi).alias("v_hi"), frac.alias("frac"), "n")
 
 
+#: An interval wider than this many powers of two is cut by magnitude, not linearly.
+_WIDE = 16.0
+
+
+def _magnitude(x):
+    """A weakly increasing map of all doubles to [-2200, 2200]: sign and binary
+    logarithm (at least 1 apart from zero), infinities at the ends."""
+    size = F.least(F.log2(F.abs(x)) + F.lit(1080.0), F.lit(2200.0))
+    return F.when(x == 0, F.lit(0.0)).when(x > 0, size).otherwise(-size)
+
+
+def _share(x, lo, hi):
+    """Where x lies in [lo, hi], as 0..1: by magnitude over wide intervals (any
+    range, infinities included), linearly over narrow ones. Either way a bucket
+    is a small part of its interval, so few passes reach single values."""
+    span = _magnitude(hi) - _magnitude(lo)
+    return F.when(span > F.lit(_WIDE), (_magnitude(x) - _magnitude(lo)) / span).otherwise((x - lo) / (hi - lo))
+
+
 def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale: Scale) -> DataFrame:
     """Order statistics by histogram refinement for groups larger than the direct bound."""
     shared_dir(values.sparkSession)  # checkpoints below need the shared folder
@@ -217,9 +242,8 @@ def _refined(values: DataFrame, big: DataFrame, keys: list, probs: list, scale:
 
         intervals = state.select(*[F.col(k).alias(f"g_{k}") for k in keys], F.col("lo").alias("ilo"), F.col("hi").alias("ihi")).distinct()
         inside = _in_interval(values, intervals, keys, scale)  # (keys, x, ilo, ihi)
-        width = F.col("ihi") - F.col("ilo")
         bucket = F.least(
-            F.floor((F.col("x") - F.col("ilo")) / width * F.lit(float(scale.refine_buckets))),
+            F.floor(_share(F.col("x"), F.col("ilo"), F.col("ihi")) * F.lit(float(scale.refine_buckets))),
             F.lit(scale.refine_buckets - 1),
         )
         hist = inside.groupBy(*keys, "ilo", "ihi", bucket.alias("b")).agg(
@@ -277,7 +301,7 @@ def _in_interval(values: DataFrame, intervals: DataFrame, keys: list, scale: Sca
 
     ``intervals`` has columns g_<key>..., ilo, ihi; the result (keys, x, ilo, ihi).
     """
-    side = sized_broadcast(intervals, scale.broadcast_max_rows)
+    side = sized_broadcast(intervals, scale.broadcast_max_bytes)
     cond = [F.col(k).eqNullSafe(F.col(f"g_{k}")) for k in keys] + [F.col("x") >= F.col("ilo"), F.col("x") <= F.col("ihi")]
     return values.join(side, cond).select(*keys, "x", "ilo", "ihi")
 

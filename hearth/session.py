@@ -33,8 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read and write: ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and only read here. Where it
-    is unset (local runs, tests) a scratch folder is created and registered
-    as the checkpoint dir, so ``DataFrame.checkpoint`` works as well.
+    is unset, a local session (tests) gets a scratch folder, registered as the
+    checkpoint dir so that ``DataFrame.checkpoint`` works as well; any other
+    master is refused, since its executors could not see the driver's folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -42,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="hearth-shared-")
     try:
         spark.conf.set("spark.checkpoint.dir", path)
@@ -89,8 +92,4 @@ def path_signature(spark: SparkSession, path: str) -> tuple[int, int]:
     return int(fs.getContentSummary(jpath).getLength()), int(fs.getFileStatus(jpath).getModificationTime())
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_bytes", "path_signature", "path_exists", "is_local_path"]
+__all__ = ["local_session", "shared_dir", "scratch_path", "materialise", "path_bytes", "path_signature", "path_exists"]
