@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from hearth import config
 from hearth.config import SCALE, Scale
-from hearth.functions.columns import nan_to_null, numeric_columns, require_columns
+from hearth.functions.columns import nan_to_null, normalise_nan, numeric_columns, require_columns
 from hearth.operators.joins import sized_broadcast
-from hearth.operators.partitioning import spread_small
 from hearth.operators.quantiles import exact_quantiles, medians
 
 AGGREGATIONS = ("mean", "sum", "count", "median")
@@ -35,6 +34,7 @@ def grouped_aggregate(df: DataFrame, x: str, y: str, aggregation: str = "mean",
     value is 0, its mean and median are NULL.
     """
     require_columns(df, [x, y])
+    df = normalise_nan(df)
     base = df.filter(F.col(x).isNotNull())
     if aggregation == "mean":
         out = base.groupBy(x).agg(F.avg(y).alias(y))
@@ -47,7 +47,7 @@ def grouped_aggregate(df: DataFrame, x: str, y: str, aggregation: str = "mean",
         med = exact_quantiles(base, [y], [0.5], by=[x], scale=scale, kind="median").select(F.col(x), F.col("value").alias(y))
         out = keys.join(med, [x], "left")
     else:
-        raise ValueError(f"Invalid aggregation: {aggregation}")
+        raise ValueError(f"aggregation {aggregation!r} is not one of {AGGREGATIONS}")
     return out.orderBy(x)
 
 
@@ -69,6 +69,7 @@ def summary_statistics(df: DataFrame, columns: Sequence[str] | None = None, key:
     Moments in one aggregate; quartiles exact (not ``summary()``'s approximation).
     """
     cols = _stat_columns(df, columns, key)
+    df = normalise_nan(df.select(*cols))
     moments = df.agg(
         F.array(
             *[
@@ -96,6 +97,7 @@ def summary_statistics(df: DataFrame, columns: Sequence[str] | None = None, key:
 def numeric_moments(df: DataFrame, columns: Sequence[str] | None = None, key: str | None = config.KEY, scale: Scale = SCALE) -> DataFrame:
     """(column, mean, median, std) per numeric column (median as the midpoint)."""
     cols = _stat_columns(df, columns, key)
+    df = normalise_nan(df.select(*cols))
     moments = df.agg(
         F.array(*[F.struct(F.lit(c).alias("column"), F.avg(c).cast("double").alias("mean"), F.stddev_samp(c).cast("double").alias("std")) for c in cols]).alias("a")
     ).select(F.inline("a"))
@@ -105,6 +107,7 @@ def numeric_moments(df: DataFrame, columns: Sequence[str] | None = None, key: st
 
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, min, max) in one aggregate."""
+    df = normalise_nan(df)
     parts = [F.struct(F.lit(c).alias("column"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")) for c in columns]
     return df.agg(F.array(*parts).alias("a")).select(F.inline("a"))
 
@@ -112,6 +115,7 @@ def column_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def kpis(df: DataFrame, target: str = config.TARGET, key: str | None = config.KEY, scale: Scale = SCALE) -> DataFrame:
     """One row: records, features (columns other than the target and key), mean and median price."""
     n_cols = len([c for c in df.columns if c != key])
+    df = normalise_nan(df)
     med = medians(df, [target], scale).get(target)
     return df.agg(
         F.count(F.lit(1)).alias("records"),
@@ -134,7 +138,8 @@ def _corr_expr(a: str, b: str):
     a2 = F.when(cb.isNotNull(), ca)
     b2 = F.when(ca.isNotNull(), cb)
     den = F.sqrt(F.var_pop(a2) * F.var_pop(b2))
-    return F.covar_pop(ca, cb) / F.nullif(den, F.lit(0.0))
+    varies = (F.min(ca) < F.max(ca)) & (F.min(cb) < F.max(cb))
+    return F.when(varies, F.covar_pop(a2, b2) / F.nullif(den, F.lit(0.0)))
 
 
 def pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -151,6 +156,7 @@ def pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     cols = list(cols)
     p = len(cols)
+    df = normalise_nan(df.select(*cols))
     stats = df.agg(
         *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
         *[(F.min(c) == F.max(c)).alias(f"k{i}") for i, c in enumerate(cols)],
@@ -212,7 +218,7 @@ def pairwise_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _corr_from_sums():
-    n = F.col("n")
+    n = F.nullif(F.col("n"), F.lit(0.0))
     ma, mb = F.col("sa") / n, F.col("sb") / n
     cov = F.col("sab") / n - ma * mb
     va = F.col("saa") / n - ma * ma
@@ -236,9 +242,10 @@ def target_correlation(df: DataFrame, target: str = config.TARGET, columns: Sequ
     highest signed value first."""
     cols = _stat_columns(df, columns, key)
     if target not in cols:
-        raise ValueError(f"Target column '{target}' is not a numeric column")
-    m = correlation_matrix(df, cols, key)
-    out = m.filter(F.col("column_b") == target).select(F.col("column_a").alias("column"), "corr")
+        raise ValueError(f"{target} is not among the numeric columns {cols}")
+    present = normalise_nan(df.select(*cols))
+    corr = [F.struct(F.lit(c).alias("column"), _corr_expr(c, target).alias("corr")) for c in cols]
+    out = present.agg(F.array(*corr).alias("a")).select(F.inline("a"))
     return out.orderBy(F.col("corr").desc_nulls_last(), F.col("column"))
 
 
@@ -258,6 +265,7 @@ def bottom_correlations(df: DataFrame, k: int = 5, target: str = config.TARGET,
 
 
 def _range_of(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, int]]:
+    df = normalise_nan(df.select(*columns))
     row = df.agg(
         *[F.min(c).cast("double").alias(f"lo_{i}") for i, c in enumerate(columns)],
         *[F.max(c).cast("double").alias(f"hi_{i}") for i, c in enumerate(columns)],
@@ -287,6 +295,7 @@ def histogram(df: DataFrame, column: str = config.TARGET, bins: int = 50) -> Dat
     if bins < 1:
         raise ValueError("bins must be positive")
     require_columns(df, [column])
+    df = normalise_nan(df.select(column))
     lo, hi, _ = _range_of(df, [column])[column]
     counts = df.filter(F.col(column).isNotNull()).groupBy(bin_index(column, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / bins
@@ -301,6 +310,7 @@ def histogram(df: DataFrame, column: str = config.TARGET, bins: int = 50) -> Dat
 
 def column_center(df: DataFrame, column: str, scale: Scale = SCALE) -> DataFrame:
     """One row (mean, median) of a column: the histogram's reference lines."""
+    df = normalise_nan(df.select(column))
     med = medians(df, [column], scale).get(column)
     return df.agg(F.avg(column).alias("mean"), F.lit(med).cast("double").alias("median"))
 
@@ -310,6 +320,7 @@ def scatter_points(df: DataFrame, x: str = "longitude", y: str = "latitude", col
     coordinates - a projection; ``scatter_grid`` is its aggregated form."""
     require_columns(df, [x, y] + ([colour] if colour else []))
     cols = ([key] if key and key in df.columns else []) + [x, y] + ([colour] if colour else [])
+    df = normalise_nan(df)
     return df.select(*cols).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
 
 
@@ -319,6 +330,7 @@ def scatter_grid(df: DataFrame, x: str = "longitude", y: str = "latitude", colou
     The scalable form of a point cloud: one aggregate per occupied cell.
     """
     require_columns(df, [x, y] + ([colour] if colour else []))
+    df = normalise_nan(df)
     r = _range_of(df, [x, y])
     base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     aggs = [F.count(F.lit(1)).alias("count")]
@@ -342,6 +354,7 @@ def pair_grid(df: DataFrame, columns: Sequence[str] = config.PAIR_COLUMNS, hue:
     """
     cols = list(columns)
     require_columns(df, cols + ([hue] if hue else []))
+    df = normalise_nan(df)
     r = _range_of(df, cols)
     cells = []
     for i, a in enumerate(cols):
@@ -364,47 +377,73 @@ def pair_grid(df: DataFrame, columns: Sequence[str] = config.PAIR_COLUMNS, hue:
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
-def _kde_sums(long: DataFrame, specs: dict, gtype: str) -> DataFrame:
-    """Gaussian-kernel sums on each grid, from weighted values.
+#: Kernel values beyond so many bandwidths are below 2e-16 of the peak.
+_REACH = 8.5
+#: Grid sums that a task keeps before it hands them on.
+_HELD = 2_000_000
+
+
+def kernel_sums(values: np.ndarray, lo: float, step: float, h: float, points: int) -> np.ndarray:
+    """Sums of Gaussian kernels at the grid points; a value only reaches the points within its window."""
+    vals, weights = np.unique(values, return_counts=True)
+    out = np.zeros(points)
+    window = np.arange(int(2 * _REACH * h / step) + 2) if step > 0 else np.arange(points)
+    for k in range(0, vals.size, max(1, 1_000_000 // window.size)):
+        v, w = vals[k : k + max(1, 1_000_000 // window.size)], weights[k : k + max(1, 1_000_000 // window.size)]
+        first = np.ceil((v - _REACH * h - lo) / step) if step > 0 else np.zeros(v.size)
+        at = first.astype("int64")[:, None] + window
+        u = (lo + at * step - v[:, None]) / h
+        inside = (at >= 0) & (at < points)
+        out += np.bincount(at[inside], (w[:, None] * np.exp(-0.5 * u * u))[inside], points)
+    return out
+
+
+def _densities(long: DataFrame, points: int, margin_range: float, margin_h: float) -> DataFrame:
+    """(ci, grp, point, at, density) for values (ci, grp, x) without NULLs.
 
-    ``long`` has (ci int, grp, x double, w bigint): column index, group, value
-    and how many rows hold it; ``specs`` maps (ci, grp) -> (lo, step, h,
-    points). Per task, values are de-duplicated and evaluated against the grid
-    in numpy chunks; one partial per (task, column, group, point) is shuffled
-    and summed. Work is (distinct values per task) × points.
+    Per (ci, grp): Scott bandwidth h = std · n^(-1/5); the grid spans the range
+    widened by ``margin_range`` of it and ``margin_h`` bandwidths on both sides;
+    groups with fewer than two values or no spread are left out. The groups'
+    numbers stay a table (broadcast only if written small), joined to the values;
+    tasks form partial grid sums, one row per (task, group, point) is shuffled.
     """
-    chunk = 2048
+    stats = long.groupBy("ci", "grp").agg(F.count("x").alias("n"), F.stddev_samp("x").alias("s"), F.min("x").alias("a"), F.max("x").alias("b"))
+    h = F.col("s") * F.pow(F.col("n"), F.lit(-0.2))
+    margin = F.lit(margin_range) * (F.col("b") - F.col("a")) + F.lit(margin_h) * F.col("h")
+    lo, hi = F.col("a") - F.col("m"), F.col("b") + F.col("m")
+    specs = stats.filter((F.col("n") >= 2) & (F.col("s") > 0)).withColumn("h", h).withColumn("m", margin)
+    specs = specs.select(F.col("ci").alias("k"), F.col("grp").alias("g"), "n", "h", lo.alias("lo"), ((hi - lo) / F.lit(float(points - 1))).alias("step"))
+    specs = sized_broadcast(specs, SCALE.broadcast_max_bytes)
+    same = (F.col("ci") == F.col("k")) & F.col("grp").eqNullSafe(F.col("g"))
+    placed = long.join(specs, same).select("ci", "grp", "x", "lo", "step", "h")
 
     def partial(it):
-        acc: dict = {}
+        held: dict = {}
         for pdf in it:
-            if len(pdf) == 0:
-                continue
-            for (ci, g), part in pdf.groupby(["ci", "grp"], sort=False):
-                spec = specs.get((int(ci), g))
-                if spec is None:
-                    continue
-                lo, step, h, points = spec
-                vals, inv = np.unique(part["x"].to_numpy(dtype="float64"), return_inverse=True)
-                wts = np.bincount(inv.ravel(), weights=part["w"].to_numpy(dtype="float64"))
-                grid = lo + np.arange(points, dtype="float64") * step
-                s = acc.setdefault((int(ci), g), np.zeros(points))
-                for k in range(0, vals.size, chunk):
-                    u = (grid[None, :] - vals[k : k + chunk, None]) / h
-                    s += (wts[k : k + chunk, None] * np.exp(-0.5 * u * u)).sum(axis=0)
-        for (ci, g), s in acc.items():
-            yield pd.DataFrame({"ci": np.int32(ci), "grp": g, "point": np.arange(len(s), dtype="int32"), "s": s})
-
-    schema = f"ci int, grp {gtype}, point int, s double"
-    return spread_small(long).mapInPandas(partial, schema).groupBy("ci", "grp", "point").agg(F.sum("s").alias("s"))
-
-
-def _weighted(long: DataFrame, combine: bool) -> DataFrame:
-    """(ci, grp, x, w): duplicates combined by a partial/final count when
-    ``combine`` (few distinct values), else one row per value with w = 1."""
-    if combine:
-        return long.groupBy("ci", "grp", "x").agg(F.count(F.lit(1)).alias("w"))
-    return long.withColumn("w", F.lit(1).cast("bigint"))
+            for (ci, g), part in pdf.groupby(["ci", "grp"], sort=False, dropna=False):
+                one = part.iloc[0]
+                sums = kernel_sums(part["x"].to_numpy(dtype="float64"), one["lo"], one["step"], one["h"], points)
+                held[(ci, g)] = held[(ci, g)] + sums if (ci, g) in held else sums
+            if len(held) * points > _HELD:
+                yield from rows(held)
+                held = {}
+        yield from rows(held)
+
+    def rows(held):
+        for (ci, g), s in held.items():
+            yield pd.DataFrame({"ci": np.int32(ci), "grp": g, "point": np.arange(points, dtype="int32"), "s": s})
+
+    schema = f"ci int, grp {long.schema['grp'].dataType.simpleString()}, point int, s double"
+    sums = placed.mapInPandas(partial, schema).groupBy("ci", "grp", "point").agg(F.sum("s").alias("s"))
+    return sums.join(specs, same).select(
+        "ci", "grp", "point", (F.col("lo") + F.col("point") * F.col("step")).alias("at"), (F.col("s") / (F.col("n") * F.col("h") * F.lit(_SQRT_2PI))).alias("density")
+    )
+
+
+def _cells(df: DataFrame, columns: Sequence[str], group) -> DataFrame:
+    """(ci, grp, x): the non-missing values of several columns, numbered, with a group each."""
+    cells = F.array(*[F.struct(F.lit(i).alias("ci"), nan_to_null(F.col(c).cast("double")).alias("x")) for i, c in enumerate(columns)])
+    return df.select(group.alias("grp"), F.explode(cells).alias("e")).select("e.ci", "grp", "e.x").filter(F.col("x").isNotNull())
 
 
 def density(df: DataFrame, columns: Sequence[str] | None = None, points: int = 1000) -> DataFrame:
@@ -412,84 +451,36 @@ def density(df: DataFrame, columns: Sequence[str] | None = None, points: int = 1
     grid points spanning [min - range/2, max + range/2].
 
     (column, point, x, density). Absent columns are skipped; a column with
-    fewer than two values or zero spread has no density. A column with at
-    most a quarter as many distinct values as rows (approximate count, same
-    job as the moments) has its duplicates combined before the kernels.
+    fewer than two values or zero spread has no density.
     """
     cols = [c for c in (columns if columns is not None else config.DENSITY_COLUMNS) if c in df.columns]
-    empty = "column string, point int, x double, density double"
     if not cols:
-        return df.sparkSession.createDataFrame([], empty)
-    row = df.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)],
-        *[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(cols)],
-        *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(cols)],
-        *[F.approx_count_distinct(c, 0.05).alias(f"d{i}") for i, c in enumerate(cols)],
-    ).first()
-    specs, norms, few, many = {}, [], [], []
-    for i, c in enumerate(cols):
-        n, s, lo, hi = row[f"n{i}"], row[f"s{i}"], row[f"lo{i}"], row[f"hi{i}"]
-        if n < 2 or not s:
-            continue
-        h = s * n ** (-0.2)
-        rng = hi - lo
-        g0, g1 = lo - 0.5 * rng, hi + 0.5 * rng
-        step = (g1 - g0) / (points - 1)
-        specs[(i, "")] = (g0, step, h, points)
-        norms.append((i, c, g0, step, n * h * _SQRT_2PI))
-        (few if row[f"d{i}"] * 4 <= n else many).append(i)
-    if not specs:
-        return df.sparkSession.createDataFrame([], empty)
-    idx = sorted(few + many)
-    cells = F.array(*[F.struct(F.lit(i).alias("ci"), F.lit("").alias("grp"), nan_to_null(F.col(cols[i]).cast("double")).alias("x")) for i in idx])
-    long = df.select(F.explode(cells).alias("e")).select("e.*").filter(F.col("x").isNotNull())
-    parts = [_weighted(long.filter(F.col("ci").isin(part)), combine) for part, combine in ((few, True), (many, False)) if part]
-    weighted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    sums = _kde_sums(weighted, specs, "string")
-    p = df.sparkSession.createDataFrame(norms, "ci int, column string, g0 double, step double, norm double")
-    return sums.join(F.broadcast(p), "ci").select(
-        "column", "point", (F.col("g0") + F.col("point") * F.col("step")).alias("x"), (F.col("s") / F.col("norm")).alias("density")
-    )
+        return df.sparkSession.createDataFrame([], "column string, point int, x double, density double")
+    out = _densities(_cells(df, cols, F.lit("")), points, 0.5, 0.0)
+    names = F.array(*[F.lit(c) for c in cols])
+    return out.select(F.element_at(names, F.col("ci") + 1).alias("column"), "point", F.col("at").alias("x"), "density")
 
 
-def violin_data(df: DataFrame, x: str = "age_category", y: str = "median_income", points: int = 100, cut: float = 2.0, max_groups: int = 10_000) -> DataFrame:
+def violin_data(df: DataFrame, x: str = "age_category", y: str = "median_income", points: int = 100, cut: float = 2.0) -> DataFrame:
     """Per-category KDE of y (Scott bandwidth, ``points`` grid points over
-    [min - cut·h, max + cut·h]): (category, point, y, density). The inner box
-    is ``box_stats(df, x, y)``. Duplicates are combined first when the
-    categories hold at most a quarter as many distinct values as rows.
+    [min - cut·h, max + cut·h]): (category, point, y, density), for any number
+    of categories. The inner box is ``box_stats(df, x, y)``.
     """
     require_columns(df, [x, y])
-    base = df.filter(F.col(x).isNotNull())
-    stats = base.groupBy(x).agg(
-        F.count(y).alias("n"),
-        F.stddev_samp(y).alias("s"),
-        F.min(y).cast("double").alias("lo"),
-        F.max(y).cast("double").alias("hi"),
-        F.approx_count_distinct(y, 0.05).alias("d"),
-    )
-    rows = stats.limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"{x} has more than {max_groups} categories; a violin needs a categorical axis")
-    specs, norms = {}, []
-    for r in rows:
-        if r["n"] < 2 or not r["s"]:
-            continue
-        h = r["s"] * r["n"] ** (-0.2)
-        g0, g1 = r["lo"] - cut * h, r["hi"] + cut * h
-        step = (g1 - g0) / (points - 1)
-        specs[(0, r[x])] = (g0, step, h, points)
-        norms.append((r[x], g0, step, r["n"] * h * _SQRT_2PI))
-    gtype = df.schema[x].dataType.simpleString()
-    if not specs:
-        return df.sparkSession.createDataFrame([], f"category {gtype}, point int, y double, density double")
-    combine = sum(r["d"] for r in rows) * 4 <= sum(r["n"] for r in rows)
-    long = base.select(F.lit(0).alias("ci"), F.col(x).alias("grp"), nan_to_null(F.col(y).cast("double")).alias("x")).filter(F.col("x").isNotNull())
-    sums = _kde_sums(_weighted(long, combine), specs, gtype)
-    p = df.sparkSession.createDataFrame(norms, f"grp {gtype}, g0 double, step double, norm double")
-    return sums.join(F.broadcast(p), "grp").select(
-        F.col("grp").alias("category"), "point", (F.col("g0") + F.col("point") * F.col("step")).alias("y"), (F.col("s") / F.col("norm")).alias("density")
-    )
+    base = normalise_nan(df.select(*dict.fromkeys([x, y])))
+    out = _densities(_cells(base.filter(F.col(x).isNotNull()), [y], F.col(x)), points, 0.0, cut)
+    return out.select(F.col("grp").alias("category"), "point", F.col("at").alias("y"), "density")
+
+
+def pair_density(df: DataFrame, columns: Sequence[str] = config.PAIR_COLUMNS, hue: str = config.PAIR_HUE, points: int = 200, cut: float = 3.0) -> DataFrame:
+    """The diagonal of a pair view: per column and hue the KDE of the column
+    ([min - cut·h, max + cut·h], Scott bandwidth): (column, hue, point, x, density).
+    Rows without a hue are left out."""
+    cols = list(columns)
+    require_columns(df, [*cols, hue])
+    out = _densities(_cells(df.filter(F.col(hue).isNotNull()), cols, F.col(hue)), points, 0.0, cut)
+    names = F.array(*[F.lit(c) for c in cols])
+    return out.select(F.element_at(names, F.col("ci") + 1).alias("column"), F.col("grp").alias("hue"), "point", F.col("at").alias("x"), "density")
 
 
 # --- box statistics ---------------------------------------------------------------
@@ -504,19 +495,19 @@ def box_stats(df: DataFrame, x: str = "income_category", y: str = config.TARGET,
     joined back for one conditional aggregate.
     """
     require_columns(df, [x, y])
+    df = normalise_nan(df.select(x, y) if x != y else df.select(x))
     base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     q = exact_quantiles(base, [y], [0.25, 0.5, 0.75], by=[x], scale=scale)
     wide = q.groupBy(x).pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value")).toDF(x, "q1", "median", "q3")
     wide = wide.withColumn("lo_f", F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).withColumn(
         "hi_f", F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))
     )
-    side = sized_broadcast(wide, scale.broadcast_max_rows)
-    j = base.select(x, F.col(y).cast("double").alias("v")).join(side, x)
+    wide = sized_broadcast(wide, scale.broadcast_max_bytes)  # worked out once: one row per category
+    j = base.select(x, F.col(y).cast("double").alias("v")).join(wide, x)
     inside = (F.col("v") >= F.col("lo_f")) & (F.col("v") <= F.col("hi_f"))
-    agg = j.groupBy(x).agg(
+    return j.groupBy(x, "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
         F.count_if(~inside).alias("fliers"),
-    )
-    return agg.join(wide, x).select(x, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "fliers")
+    ).select(x, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "fliers")

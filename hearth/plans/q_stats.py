@@ -345,4 +345,71 @@ def q_violin_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("category", "point", F.round("y", 6).alias("y"), F.round("density", 9).alias("density"))
 
 
+def _pair_density_sql(points: int = 200, cut: float = 3.0) -> str:
+    hue = config.PAIR_HUE
+    parts, ctes = [], []
+    for k, c in enumerate(config.PAIR_COLUMNS):
+        ctes.append(
+            f"""s{k} AS (SELECT {hue} AS grp, MIN({c}) AS lo, MAX({c}) AS hi, COUNT({c}) AS n,
+              STDDEV_SAMP({c}) * pow(COUNT({c}), {S.dbl(-0.2)}) AS bw FROM housing WHERE {hue} IS NOT NULL GROUP BY 1),
+p{k} AS (SELECT grp, lo - {S.dbl(cut)} * bw AS g0, ((hi + {S.dbl(cut)} * bw) - (lo - {S.dbl(cut)} * bw)) / {S.dbl(points - 1)} AS step,
+             bw AS h, n * bw * {_SQRT2PI} AS norm FROM s{k} WHERE n >= 2 AND bw > 0)"""
+        )
+        parts.append(
+            f"""SELECT '{c}' AS "column", p.grp AS hue, CAST(g.i AS INTEGER) AS point, ROUND(ANY_VALUE(p.g0 + g.i * p.step), 6) AS x,
+       ROUND(SUM(exp(-0.5 * ((p.g0 + g.i * p.step - h.{c}) / p.h) * ((p.g0 + g.i * p.step - h.{c}) / p.h))) / ANY_VALUE(p.norm), 9) AS density
+FROM housing h JOIN p{k} p ON h.{hue} = p.grp, range({points}) g(i) WHERE h.{c} IS NOT NULL GROUP BY p.grp, g.i"""
+        )
+    return S.on_housing("\nUNION ALL\n".join(parts), ",\n".join(ctes))
+
+
+@register("pair_density", _pair_density_sql())
+def q_pair_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = eda.pair_density(housing(spark, sf_dir))
+    return out.select("column", "hue", "point", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
+
+
+# --- missing values: every 19th district has NaN in one column, every 23rd NULL in it ---
+
+_HOLED = """holed AS (SELECT * REPLACE (CASE WHEN district_id % 19 = 0 OR district_id % 23 = 0 THEN NULL ELSE median_income END AS median_income) FROM housing)"""
+
+
+def holed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("district_id")
+    value = F.when(k % 19 == 0, F.lit(float("nan"))).when(k % 23 == 0, F.lit(None)).otherwise(F.col("median_income"))
+    return housing(spark, sf_dir).withColumn("median_income", value)
+
+
+@register("grouped_mean_missing", S.on_housing("SELECT income_category, ROUND(AVG(median_income), 6) AS median_income FROM holed WHERE income_category IS NOT NULL GROUP BY 1", _HOLED))
+def q_grouped_mean_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_all(eda.grouped_aggregate(holed(spark, sf_dir), "income_category", "median_income", "mean"), ["median_income"])
+
+
+@register(
+    "summary_statistics_missing",
+    S.on_housing(
+        f"""SELECT CAST(0 AS INTEGER) AS position, 'median_income' AS "column", COUNT(median_income) AS "count", ROUND(AVG(median_income), 6) AS mean,
+       ROUND(STDDEV_SAMP(median_income), 6) AS std, ROUND(MIN(median_income), 6) AS "min", ROUND({S.lerp('ANY_VALUE(l.xs)', 0.25)}, 6) AS p25,
+       ROUND({S.lerp('ANY_VALUE(l.xs)', 0.5)}, 6) AS p50, ROUND({S.lerp('ANY_VALUE(l.xs)', 0.75)}, 6) AS p75, ROUND(MAX(median_income), 6) AS "max"
+FROM holed, (SELECT {S.sorted_list('median_income')} AS xs FROM holed) l""",
+        _HOLED,
+    ),
+)
+def q_summary_statistics_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _round_all(eda.summary_statistics(holed(spark, sf_dir), ["median_income"]), ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+@register(
+    "outliers_zscore_missing",
+    S.on_housing(
+        "SELECT district_id FROM holed, (SELECT AVG(median_income) AS m, STDDEV_SAMP(median_income) AS s FROM holed) z WHERE abs((median_income - m) / s) < 2.0",
+        _HOLED,
+    ),
+)
+def q_outliers_zscore_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hearth.operators import quality
+
+    return quality.remove_outliers(holed(spark, sf_dir), "zscore", 2.0, columns=["median_income"]).select("district_id")
+
+
 __all__ = ["numeric_columns", "r6"]
