@@ -10,15 +10,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearth import config
 from hearth.config import SCALE, Scale
-from hearth.functions.columns import numeric_columns
+from hearth.functions.columns import normalise_nan, numeric_columns
 from hearth.operators.quantiles import medians, mode_values, quantile_map
+from hearth.session import materialise
 
 
 def _missing(df: DataFrame, c: str):
@@ -99,7 +99,7 @@ def fill_values(df: DataFrame, strategy: str, columns: Sequence[str], scale: Sca
         return row.asDict()
     if strategy == "mode":
         return mode_values(df, columns)
-    raise ValueError(f"Invalid strategy: {strategy}. Use 'median', 'mean', 'mode', or 'drop'")
+    raise ValueError(f"{strategy!r} is not an imputation strategy (median, mean, mode, drop)")
 
 
 def impute(
@@ -116,7 +116,7 @@ def impute(
     if strategy == "drop":
         return drop_missing(df, columns)
     if strategy not in ("median", "mean", "mode"):
-        raise ValueError(f"Invalid strategy: {strategy}. Use 'median', 'mean', 'mode', or 'drop'")
+        raise ValueError(f"{strategy!r} is not an imputation strategy (median, mean, mode, drop)")
     rows = max_rows
     if columns:
         targets = list(columns)
@@ -170,29 +170,26 @@ def iqr_bounds_steps(
     """Sequential IQR filter: per column, quartiles of the rows that survived
     the previous columns, keep [Q1 - t*IQR, Q3 + t*IQR] inclusive (NULL dropped).
 
-    Returns the filtered (lazy) frame and the per-step bounds. The input is
-    persisted; each step costs one exact-quantile job on the filtered input.
+    Returns the filtered (lazy) frame and the per-step bounds. The outlier
+    columns are materialised; each step costs one exact-quantile job on the filtered input.
     """
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
-    # Bounds need only the outlier columns: cache that narrow projection for
-    # the sequential passes, release it once the bounds are known.
-    narrow = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n0 = narrow.count()  # every later step holds at most n0 rows
-        cur, keep, steps = narrow, F.lit(True), []
-        for c in cols:
-            q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
-            if (c, 0.25) not in q:  # no value left: the step removes every row
-                cond, lo, hi = F.lit(False), None, None
-            else:
-                q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-                lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
-                cond = F.col(c).between(F.lit(lo), F.lit(hi))
-            steps.append(Step(c, lo, hi, cond))
-            keep = keep & cond
-            cur = cur.filter(cond)
-    finally:
-        narrow.unpersist()
+    # Bounds need only the outlier columns: that narrow projection is written
+    # once to the shared folder for the sequential passes.
+    narrow = materialise(df.sparkSession, df.select(*cols), "outlier-columns")
+    n0 = narrow.count()  # every later step holds at most n0 rows
+    cur, keep, steps = narrow, F.lit(True), []
+    for c in cols:
+        q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
+        if (c, 0.25) not in q:  # no value left: the step removes every row
+            cond, lo, hi = F.lit(False), None, None
+        else:
+            q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
+            lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
+            cond = F.col(c).between(F.lit(lo), F.lit(hi))
+        steps.append(Step(c, lo, hi, cond))
+        keep = keep & cond
+        cur = cur.filter(cond)
     # The sequential filters are row-wise, so their conjunction on the input
     # keeps exactly the rows the sequence keeps.
     return df.filter(keep), steps
@@ -240,23 +237,20 @@ def zscore_steps(
     """
     t = config.OUTLIER_THRESHOLD if threshold is None else threshold
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
-    narrow = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        cur, keep, steps = narrow, F.lit(True), []
-        for c in cols:
-            row = cur.agg(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).first()
-            m, s = row["m"], row["s"]
-            if s is None or s == 0 or m is None:  # undefined z: every row goes
-                steps.append(Step(c, None, None, F.lit(False)))
-                keep = F.lit(False)
-                cur = cur.filter(F.lit(False))
-                continue
-            cond = F.abs((F.col(c) - F.lit(m)) / F.lit(s)) < F.lit(t)
-            steps.append(Step(c, m - t * s, m + t * s, cond))
-            keep = keep & cond
-            cur = cur.filter(cond)
-    finally:
-        narrow.unpersist()
+    narrow = materialise(df.sparkSession, normalise_nan(df.select(*cols)), "outlier-columns")
+    cur, keep, steps = narrow, F.lit(True), []
+    for c in cols:
+        row = cur.agg(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).first()
+        m, s = row["m"], row["s"]
+        if s is None or s == 0 or m is None:  # undefined z: every row goes
+            steps.append(Step(c, None, None, F.lit(False)))
+            keep = F.lit(False)
+            cur = cur.filter(F.lit(False))
+            continue
+        cond = F.abs((F.col(c) - F.lit(m)) / F.lit(s)) < F.lit(t)
+        steps.append(Step(c, m - t * s, m + t * s, cond))
+        keep = keep & cond
+        cur = cur.filter(cond)
     return df.filter(keep), steps
 
 
@@ -277,7 +271,7 @@ def remove_outliers(
         return iqr_single_pass(df, columns, t, target, key, scale)[0]
     if method == "zscore":
         return zscore_steps(df, columns, threshold, target, key)[0]
-    raise ValueError(f"Invalid method: {method}. Use 'iqr' or 'zscore' (or 'iqr_single_pass')")
+    raise ValueError(f"{method!r} is not an outlier method (iqr, zscore, iqr_single_pass)")
 
 
 def outlier_report(
@@ -303,7 +297,7 @@ def outlier_report(
     elif method == "zscore":
         _, steps = zscore_steps(df, columns, threshold, target, key)
     else:
-        raise ValueError(f"Invalid method: {method}. Use 'iqr' or 'zscore' (or 'iqr_single_pass')")
+        raise ValueError(f"{method!r} is not an outlier method (iqr, zscore, iqr_single_pass)")
     parts, acc = [], F.lit(True)
     for i, (c, lo, hi, keep) in enumerate(steps):
         acc = acc & F.coalesce(keep, F.lit(False))

@@ -201,15 +201,67 @@ def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.predictions(loaded, test.select("district_id", T, *feats))
 
 
-@register("score_batch")
-def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted pipeline applied to the test districts' base inputs: rows failing an
-    input rule are quarantined (see input_violations), the valid batch is
-    scored with derived inputs filled from the batch."""
-    model, _, test = _fitted(spark, sf_dir)
-    base = districts(spark, sf_dir).join(test.select("district_id"), "district_id", "left_semi")
-    valid, _quarantined = SC.split_valid(base)
-    return SC.score_batch(model, valid).select("district_id", "prediction")
+@register("score_batch_all_features")
+def q_score_batch_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 11-feature pipeline applied to every district's base inputs, with the broken input rules."""
+    model, _, _ = _fitted(spark, sf_dir)
+    return SC.score_batch(model, districts(spark, sf_dir)).select("district_id", "prediction", "violation")
+
+
+# --- the same pipeline with one feature, whose fit SQL can state ------------------------
+
+
+def _fitted_income(spark: SparkSession, sf_dir: str):
+    train, test = R.train_test_split(prepared(spark, sf_dir))
+    return R.fit_ols(train, ["median_income"]), train, test
+
+
+_FIT = f"fit AS (SELECT REGR_SLOPE({T}, median_income) AS b, REGR_INTERCEPT({T}, median_income) AS a, REGR_R2({T}, median_income) AS r2, COUNT(*) AS n, STDDEV_POP(median_income) AS sd, AVG(median_income) AS mi FROM train)"
+INCOME_CTES = PREPARED_CTES + ",\n" + _FIT
+
+
+@register(
+    "ols_fit_income",
+    S.on_housing(
+        f"""SELECT CAST(ANY_VALUE(n) AS BIGINT) AS n_train, ROUND(ANY_VALUE(fit.r2), 6) AS r2_train, ROUND(ANY_VALUE(a + b * mi), 2) AS intercept,
+       ROUND(SQRT(AVG(e * e)), 3) AS rmse_test, ROUND(AVG(ABS(e)), 3) AS mae_test, ROUND(1 - AVG(e * e) / VAR_POP(y), 6) AS r2_test
+FROM (SELECT {T} - (a + b * median_income) AS e, {T} AS y FROM test, fit), fit""",
+        INCOME_CTES,
+    ),
+)
+def q_ols_fit_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _, test = _fitted_income(spark, sf_dir)
+    lr = model.stages[-1]
+    m = R.evaluate_metrics(R.predictions(model, test))
+    return m.select(
+        F.lit(int(lr.summary.numInstances)).cast("bigint").alias("n_train"), F.round(F.lit(float(lr.summary.r2)), 6).alias("r2_train"), F.round(F.lit(float(lr.intercept)), 2).alias("intercept"),
+        F.round("rmse", 3).alias("rmse_test"), F.round("mae", 3).alias("mae_test"), F.round("r2", 6).alias("r2_test"),
+    )
+
+
+@register("feature_importance_income", S.on_housing("SELECT 'median_income' AS feature, ROUND(b * sd, 3) AS coefficient, ROUND(ABS(b * sd), 3) AS abs_coefficient FROM fit", INCOME_CTES))
+def q_feature_importance_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _, _ = _fitted_income(spark, sf_dir)
+    return _round(R.feature_importance(model, ["median_income"], int(model.stages[-1].summary.numInstances)), ["coefficient", "abs_coefficient"], 3)
+
+
+@register("model_roundtrip_income", S.on_housing(f"SELECT district_id, {T}, ROUND(a + b * median_income, 3) AS prediction FROM test, fit", INCOME_CTES))
+def q_model_roundtrip_income(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _, test = _fitted_income(spark, sf_dir)
+    m = R.evaluate_metrics(R.predictions(model, test)).first().asDict()
+    path = R.save_model(model, ["median_income"], {k: m[k] for k in ("rmse", "r2", "mae")}, scratch_path(spark, "models"))
+    loaded, feats, _ = R.load_model(path)
+    return _round(R.predictions(loaded, test.select("district_id", T, *feats)), ["prediction"], 3)
+
+
+@register(
+    "drop_null_target",
+    S.on_housing(f"SELECT district_id, median_income, {T} FROM housing WHERE district_id % 13 <> 0 AND {T} IS NOT NULL"),
+)
+def q_drop_null_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a target (here every 13th district's is taken away) are not prepared."""
+    gone = F.when(F.col("district_id") % 13 != 0, F.col(T))
+    return R.prepare_features(housing(spark, sf_dir).withColumn(T, gone), ["median_income"])[0].select("district_id", "median_income", T)
 
 
 # --- scoring with SQL forms ------------------------------------------------------------
@@ -235,6 +287,16 @@ def q_input_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SC.input_violations(districts(spark, sf_dir)).select("district_id", "violation")
 
 
+@register(
+    "score_batch",
+    S.on_housing(f"SELECT district_id, ROUND(a + b * median_income, 3) AS prediction, {violation_sql()} AS violation FROM districts, fit", INCOME_CTES),
+)
+def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every district scored by the fitted one-feature pipeline, with the input rule it breaks, if any."""
+    model, _, _ = _fitted_income(spark, sf_dir)
+    return _round(SC.score_batch(model, districts(spark, sf_dir)).select("district_id", "prediction", "violation"), ["prediction"], 3)
+
+
 SCORED_COLS = ["district_id", *config.BASE_FEATURES, "rooms_per_household", "bedrooms_per_room", "population_per_household", "income_category"]
 
 
@@ -264,13 +326,16 @@ def q_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
         + """, ROUND(p, 6) AS prediction, '$' || format('{:,.2f}', p) AS prediction_formatted,
        rooms_per_household, bedrooms_per_room, population_per_household, income_category,
        ROUND(p - mp, 6) AS diff, ROUND((p - mp) / mp * 100, 6) AS diff_pct,
-       CASE WHEN p - mp > 0 THEN 'above' ELSE 'below' END AS position
-FROM (SELECT *, a + b * median_income AS p FROM housing, fit1) s, (SELECT ROUND(AVG(median_house_value), 2) AS mp FROM housing) m""",
+       CASE WHEN p - mp > 0 THEN 'above' ELSE 'below' END AS position, ROUND(rmse, 6) AS model_rmse, ROUND(r2, 6) AS model_r2, ROUND(mae, 6) AS model_mae
+FROM (SELECT *, a + b * median_income AS p FROM housing, fit1) s, (SELECT ROUND(AVG(median_house_value), 2) AS mp FROM housing) m,
+     (SELECT SQRT(AVG(e * e)) AS rmse, AVG(ABS(e)) AS mae, 1 - AVG(e * e) / NULLIF(VAR_POP(y), 0) AS r2
+      FROM (SELECT """ + f"{T} - prediction AS e, {T} AS y FROM pred1))",
         PREPARED_CTES,
     ),
 )
 def q_score_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The comparison price is the mean price in cents (as shown next to a prediction).
     mean_price = housing(spark, sf_dir).agg(F.round(F.avg(T), 2)).first()[0]
-    out = SC.score_details(_scored(spark, sf_dir), mean_price)
-    return _round(out, ["prediction", "diff", "diff_pct"])
+    test_metrics = R.evaluate_metrics(simple_predictions(spark, sf_dir)).first()
+    out = SC.score_details(_scored(spark, sf_dir), mean_price, metrics={k: test_metrics[k] for k in ("rmse", "r2", "mae")})
+    return _round(out, ["prediction", "diff", "diff_pct", "model_rmse", "model_r2", "model_mae"])
