@@ -11,7 +11,6 @@ from hearth.functions.columns import (
     numeric_columns,
     require_columns,
     safe_ratio,
-    title_label,
 )
 
 __all__ = [
@@ -25,5 +24,4 @@ __all__ = [
     "numeric_columns",
     "require_columns",
     "safe_ratio",
-    "title_label",
 ]

@@ -64,11 +64,6 @@ def isclose(a: str | Column, b: str | Column, rtol: float = config.ISCLOSE_RTOL,
     return F.coalesce(F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b), F.lit(False))
 
 
-def title_label(name: str | Column) -> Column:
-    """Chart-title form of a column name: underscores to spaces, title case."""
-    return F.initcap(F.regexp_replace(col(name), "_", " "))
-
-
 def currency(c: str | Column) -> Column:
     """``$1,234.56``: a dollar sign before the grouped two-decimal number
     (so a negative amount reads ``$-1,234.56``, as Python's format gives)."""

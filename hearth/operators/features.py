@@ -29,9 +29,10 @@ def derive_totals(avg: DataFrame, key: str | None = config.KEY) -> DataFrame:
 
     households = rint(population / avg_occupancy), then
     total_rooms = rint(avg_rooms * households), same for bedrooms (half-even).
+    An occupancy of zero leaves households and the two totals NULL.
     """
     require_columns(avg, ["avg_rooms", "avg_bedrooms", "avg_occupancy", "population", config.TARGET])
-    households = half_even(F.col("population") / F.col("avg_occupancy"))
+    households = half_even(safe_ratio("population", "avg_occupancy"))
     out = (
         avg.withColumn(config.TARGET, F.col(config.TARGET) * 100000)
         .withColumn("households", households)

@@ -135,7 +135,7 @@ def join_with_summary(
             F.col("avg_rooms").alias("district_avg_rooms"),
             "district_count",
         ),
-        scale.broadcast_max_rows,
+        scale.broadcast_max_bytes,
     )
     out = housing.select(F.col(key).alias("id"), *JOIN_COLUMNS).join(side, "income_category").select(
         "id", *JOIN_COLUMNS, "district_avg_value", "district_avg_rooms", "district_count"
@@ -160,10 +160,13 @@ def update_rows(
     """Set ``column`` to the change table's ``new_value`` for matching keys.
 
     Set-based: a left join on the key (change table broadcast when its size
-    is bounded) and a coalesce; the change table must have unique keys.
+    is bounded) and a conditional. Of several changes for one key the largest
+    non-null ``new_value`` wins, so rows are never multiplied; changes without
+    a key match nothing.
     """
     require_columns(changes, [key, "new_value"])
-    side = sized_broadcast(changes.select(F.col(key), F.col("new_value"), F.lit(True).alias("__hit")), scale.broadcast_max_rows)
+    one = changes.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("new_value").alias("new_value"), F.lit(True).alias("__hit"))
+    side = sized_broadcast(one, scale.broadcast_max_bytes)
     j = df.join(side, key, "left")
     dt = df.schema[column].dataType
     return j.select(
@@ -176,7 +179,13 @@ def update_rows(
 
 def delete_rows(df: DataFrame, keys: DataFrame, key: str = config.KEY, scale: Scale = SCALE) -> DataFrame:
     """Remove the rows whose key is in ``keys`` (anti join)."""
-    return df.join(sized_broadcast(keys.select(key).distinct(), scale.broadcast_max_rows), key, "left_anti")
+    return df.join(sized_broadcast(keys.select(key).distinct(), scale.broadcast_max_bytes), key, "left_anti")
+
+
+def matched_changes(df: DataFrame, keys: DataFrame, key: str = config.KEY) -> DataFrame:
+    """(key, matched): whether a row exists for each distinct change key."""
+    hits = df.select(F.col(key)).distinct().withColumn("matched", F.lit(True))
+    return keys.select(key).distinct().join(hits, key, "left").select(key, F.coalesce("matched", F.lit(False)).alias("matched"))
 
 
 def matched_keys(df: DataFrame, keys: DataFrame, key: str = config.KEY) -> int:

@@ -20,10 +20,10 @@ HOUSING_COLS = DISTRICT_COLS + list(config.DERIVED_FEATURES)
     "derive_totals",
     S.on_raw_averages(
         """SELECT district_id, longitude, latitude, housing_median_age,
-       round_even(avg_rooms * round_even(population / avg_occupancy, 0), 0) AS total_rooms,
-       round_even(avg_bedrooms * round_even(population / avg_occupancy, 0), 0) AS total_bedrooms,
+       round_even(avg_rooms * round_even(population / NULLIF(avg_occupancy, 0), 0), 0) AS total_rooms,
+       round_even(avg_bedrooms * round_even(population / NULLIF(avg_occupancy, 0), 0), 0) AS total_bedrooms,
        population,
-       round_even(population / avg_occupancy, 0) AS households,
+       round_even(population / NULLIF(avg_occupancy, 0), 0) AS households,
        median_income,
        median_house_value * 100000 AS median_house_value
 FROM raw_averages"""

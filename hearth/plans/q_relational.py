@@ -56,8 +56,9 @@ def q_fetch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("table_count", S.on_housing("SELECT 'housing' AS \"table\", COUNT(*) AS \"rows\" FROM housing"))
 def q_table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sinks.replace_table(spark, housing(spark, sf_dir), "housing")
-    return spark.table("housing").agg(F.lit("housing").alias("table"), F.count(F.lit(1)).alias("rows"))
+    sinks.replace_table(spark, housing(spark, sf_dir), "housing_counted")
+    rows = sinks.table_count(spark, "housing_counted")
+    return spark.createDataFrame([("housing", rows)], "table string, rows bigint")
 
 
 @register(
@@ -208,3 +209,13 @@ def q_delete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Districts without rooms are removed."""
     h = housing(spark, sf_dir)
     return rel.delete_rows(h, h.filter(F.col("total_rooms") == 0).select("district_id"))
+
+
+@register(
+    "matched_changes",
+    S.on_housing("SELECT c.k AS district_id, h.district_id IS NOT NULL AS matched FROM (SELECT DISTINCT district_id * 2 AS k FROM housing) c LEFT JOIN housing h ON h.district_id = c.k"),
+)
+def q_matched_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the doubled district numbers are districts."""
+    h = housing(spark, sf_dir)
+    return rel.matched_changes(h, h.select((F.col("district_id") * 2).alias("district_id")))

@@ -42,13 +42,13 @@ JOIN (SELECT l_orderkey,
 # target in units of 100,000: input of the totals derivation.
 RAW_AVERAGES_SQL = """SELECT district_id,
        median_income, housing_median_age,
-       total_rooms / households AS avg_rooms,
-       total_bedrooms / households AS avg_bedrooms,
+       total_rooms / NULLIF(households, 0) AS avg_rooms,
+       total_bedrooms / NULLIF(households, 0) AS avg_bedrooms,
        population,
-       population / households AS avg_occupancy,
+       COALESCE(population / NULLIF(households, 0), 0) AS avg_occupancy,
        latitude, longitude,
        median_house_value / 100000 AS median_house_value
-FROM districts WHERE households > 0"""
+FROM districts"""
 
 
 def districts(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -81,30 +81,11 @@ def districts(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
-def districts_row_bound(spark: SparkSession, base_dir: str, max_bytes: int = 256 << 20) -> int | None:
-    """An upper bound on the rows of ``districts``: one row per order at most
-    (inner join on the order key with a per-order aggregate).
-
-    Counted only when the orders files are small (by file-system metadata);
-    for large inputs the bound could not help, so None is returned.
-    """
-    path = table_path(base_dir, "orders")
-    size, mtime = path_signature(spark, path)
-    if size > max_bytes:
-        return None
-    key = (path, size, mtime)
-    if key not in _ROW_BOUNDS:  # a count per version of the files
-        _ROW_BOUNDS[key] = read_table(spark, base_dir, "orders").select("o_orderkey").count()
-    return _ROW_BOUNDS[key]
-
-
-_ROW_BOUNDS: dict = {}
-
-
 def raw_averages(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Per-household averages of the districts (input of ``derive_totals``)."""
-    d = districts(spark, base_dir).filter(F.col("households") > 0)
-    h = F.col("households")
+    """Per-household averages of the districts (input of ``derive_totals``);
+    districts without households have occupancy 0 and no room averages."""
+    d = districts(spark, base_dir)
+    h = F.nullif(F.col("households"), F.lit(0.0))
     return d.select(
         "district_id",
         "median_income",
@@ -112,7 +93,7 @@ def raw_averages(spark: SparkSession, base_dir: str) -> DataFrame:
         (F.col("total_rooms") / h).alias("avg_rooms"),
         (F.col("total_bedrooms") / h).alias("avg_bedrooms"),
         "population",
-        (F.col("population") / h).alias("avg_occupancy"),
+        F.coalesce(F.col("population") / h, F.lit(0.0)).alias("avg_occupancy"),
         "latitude",
         "longitude",
         (F.col("median_house_value") / 100000).alias("median_house_value"),

@@ -9,6 +9,7 @@ new location first.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -57,23 +58,29 @@ def table_count(spark: SparkSession, name: str) -> int:
 def replace_table(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> dict:
     """Replace table ``name`` with ``df``; empty input is refused.
 
-    The data goes to a fresh location under the shared folder and the table
-    is then pointed at it, so a reader of the old table never sees a
-    half-written file. Returns rows_written (counted during the write by an
-    Observation, no extra job) and delta = rows after - rows before.
+    The data goes to a location of its own (under ``path``, or the shared
+    folder), is counted during the write by an Observation, and only then does
+    the table's location move to it: an existing table is never without data,
+    and a refused or failed write leaves it as it was. Returns rows_written and
+    delta = rows after - rows before.
     """
-    if df is None or df.isEmpty():
-        raise ValueError("Data cannot be None or empty")
+    if df is None:
+        raise ValueError("there is no table to write")
     before = table_count(spark, name)
     obs = Observation(f"write_{name}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    location = path or scratch_path(spark, "tables", name)
-    observed.write.mode("overwrite").parquet(location)
+    location = "/".join([path.rstrip("/"), uuid.uuid4().hex[:12]]) if path else scratch_path(spark, "tables", name)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(location)
     written = int(obs.get["rows"])
+    if written == 0:
+        raise ValueError(f"{name} is not replaced: the new table has no rows")
     if any(t.name == name and t.isTemporary for t in spark.catalog.listTables()):
         spark.catalog.dropTempView(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=location, source="parquet")
+    if spark.catalog.tableExists(name) and spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+    else:  # a first table, or other columns
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=location, source="parquet")
     return {"table": name, "location": location, "rows_written": written, "delta": written - before}
 
 

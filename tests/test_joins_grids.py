@@ -16,8 +16,10 @@ def test_sized_broadcast_respects_bound(spark):
     try:
         big = spark.range(1000).withColumnRenamed("id", "k")
         small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(big.join(sized_broadcast(small, 100), "k"))
-        assert "BroadcastHashJoin" not in _plan(big.join(sized_broadcast(big, 100), "k"))
+        within, beyond = big.join(sized_broadcast(small, 1 << 20), "k"), big.join(sized_broadcast(big, 10), "k")
+        assert "BroadcastHashJoin" in _plan(within) and "BroadcastHashJoin" not in _plan(beyond)
+        assert "SinglePartition" not in _plan(within) + _plan(beyond)
+        assert within.count() == 10 and beyond.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -27,11 +29,11 @@ def test_update_with_unbounded_change_table(spark):
     try:
         df = spark.range(200).select(F.col("id").alias("district_id"), F.lit("a").alias("income_category"))
         changes = df.filter("district_id % 2 = 0").select("district_id", F.lit("b").alias("new_value"))
-        out = rel.update_rows(df, changes, "income_category", scale=Scale(broadcast_max_rows=5))
+        out = rel.update_rows(df, changes, "income_category", scale=Scale(broadcast_max_bytes=5))
         assert "BroadcastHashJoin" not in _plan(out)
         got = {r["district_id"]: r["income_category"] for r in out.collect()}
         assert all(v == ("b" if k % 2 == 0 else "a") for k, v in got.items()) and len(got) == 200
-        gone = rel.delete_rows(df, changes.select("district_id"), scale=Scale(broadcast_max_rows=5))
+        gone = rel.delete_rows(df, changes.select("district_id"), scale=Scale(broadcast_max_bytes=5))
         assert gone.count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

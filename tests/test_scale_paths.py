@@ -8,7 +8,7 @@ from hearth.operators import eda, features as FE, quality as Q, regression as R
 from hearth.plans.views import housing
 from hearth.sources import districts
 
-SMALL = Scale(exact_direct_max=300, refine_buckets=32, refine_collect_max=100, broadcast_max_rows=2)
+SMALL = Scale(exact_direct_max=300, refine_buckets=32, refine_collect_max=100, broadcast_max_bytes=2)
 
 
 def _same(a, b, key):
