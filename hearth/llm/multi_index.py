@@ -4,7 +4,8 @@ Unit vectors are cut in two halves, each quantised by its own ``centroids``
 k-means centroids (fitted on a bounded sample of ``sample_size`` vectors). A
 vector's cell is its pair of nearest centroids; every vector is indexed. A query
 walks the centroid pairs by increasing summed distance with a heap
-(multi-sequence algorithm) until its cells hold ``scan`` of all entries; the
+(multi-sequence algorithm) until its cells hold ``scan`` of all entries (and
+more than k); the
 entries of these cells are reranked by exact cosine on the original vectors.
 
 Entries are worked on in blocks of at most about ``ENTRY_BLOCK`` vectors of one
@@ -52,10 +53,10 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of corresponding rows; equal rows give equal results wherever they stand."""
-    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+    with np.errstate(all="ignore"):
         dot, na, nb = (a * b).sum(axis=1), (a * a).sum(axis=1), (b * b).sum(axis=1)
         out = dot / (np.sqrt(na) * np.sqrt(nb))
-    odd = ~np.isfinite(out) | (na < 1e-280) | (nb < 1e-280)
+    odd = ~np.isfinite(out) | ~np.isfinite(na) | ~np.isfinite(nb) | (na < 1e-280) | (nb < 1e-280)
     if odd.any():
         out[odd] = (unit(a[odd]) * unit(b[odd])).sum(axis=1)
     return out
@@ -147,7 +148,7 @@ def search(
     sizes = np.zeros((len(index.first), len(index.second)), dtype=np.int64)  # one number per cell, however many entries
     for r in entries.groupBy("c1", "c2").agg(F.count("*").alias("n")).collect():
         sizes[r["c1"], r["c2"]] = r["n"]
-    want = scan * sizes.sum()
+    want = max(scan * sizes.sum(), k + 1)  # a query may meet itself
     blocks = np.maximum(1, -(-sizes.sum(axis=1) // ENTRY_BLOCK))
     queries = entries.where(is_query(F.col("id")))
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
