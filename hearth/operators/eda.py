@@ -377,8 +377,8 @@ def pair_grid(df: DataFrame, columns: Sequence[str] = config.PAIR_COLUMNS, hue:
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
-#: Kernel values beyond so many bandwidths are below 2e-16 of the peak.
-_REACH = 8.5
+#: Beyond so many bandwidths exp(-u²/2) is exactly zero in double precision.
+_REACH = 38.7
 #: Grid sums that a task keeps before it hands them on.
 _HELD = 2_000_000
 
