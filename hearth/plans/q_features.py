@@ -113,3 +113,21 @@ def _recheck_sql() -> str:
 @register("ratio_recheck", _recheck_sql())
 def q_ratio_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.ratio_recheck(housing(spark, sf_dir))
+
+
+_COMPLETE = " AND ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) = 0" for c in config.DERIVED_FEATURES)
+
+
+@register(
+    "features_valid",
+    S.on_housing(
+        f"SELECT 'housing' AS source, {_COMPLETE} AS valid FROM housing "
+        f"UNION ALL SELECT 'every 13th ratio missing', {_COMPLETE} FROM (SELECT * REPLACE (CASE WHEN district_id % 13 <> 0 THEN rooms_per_household END AS rooms_per_household) FROM housing)"
+    ),
+)
+def q_features_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation flag of the feature table, and of one with holes."""
+    h = housing(spark, sf_dir)
+    holed = h.withColumn("rooms_per_household", F.when(F.col("district_id") % 13 != 0, F.col("rooms_per_household")))
+    flags = [("housing", FE.validate_features(h)[1]), ("every 13th ratio missing", FE.validate_features(holed)[1])]
+    return spark.createDataFrame(flags, "source string, valid boolean")

@@ -219,3 +219,19 @@ def q_matched_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of the doubled district numbers are districts."""
     h = housing(spark, sf_dir)
     return rel.matched_changes(h, h.select((F.col("district_id") * 2).alias("district_id")))
+
+
+@register(
+    "summary_contract",
+    S.on_housing(
+        "SELECT 'not_null' AS \"constraint\", 'income_category' AS \"column\", COUNT(*) FILTER (WHERE income_category IS NULL) AS violations FROM district_summary "
+        "UNION ALL SELECT 'unique', 'income_category', COUNT(*) FILTER (WHERE n > 1) FROM (SELECT COUNT(*) AS n FROM district_summary GROUP BY income_category)",
+        S.SUMMARY_CTE,
+    ),
+)
+def q_summary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored summary has one row per category: it goes into a typed table, created where absent, and is checked there."""
+    rows = summary(spark, sf_dir)
+    sinks.create_if_absent(spark, "contracted_summary", rows.schema)
+    sinks.replace_table(spark, rows, "contracted_summary")
+    return sinks.contract_violations(spark.table("contracted_summary"), not_null=["income_category"], unique=["income_category"])

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hearth.session import scratch_path, shared_dir
 
@@ -55,6 +56,17 @@ def table_count(spark: SparkSession, name: str) -> int:
     return spark.table(name).count()
 
 
+def create_if_absent(spark: SparkSession, name: str, schema: StructType | str) -> bool:
+    """An empty table ``name`` with the given column types, unless it exists; True if it was made."""
+    if table_exists(spark, name):
+        return False
+    empty = spark.createDataFrame([], schema)
+    location = scratch_path(spark, "tables", name)
+    empty.write.parquet(location)
+    spark.catalog.createTable(name, path=location, source="parquet", schema=empty.schema)
+    return True
+
+
 def replace_table(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> dict:
     """Replace table ``name`` with ``df``; empty input is refused.
 
