@@ -64,7 +64,7 @@ def test_clusters_match_brute_force(spark):
     assert found == expected
 
 
-@pytest.mark.parametrize("limit", [1, 4, 1000])
+@pytest.mark.parametrize("limit", [1, 1000])
 @pytest.mark.parametrize("distance", [1, 2, 3])
 def test_links_keep_every_connection_whatever_the_bucket_limit(spark, limit, distance):
     rng = np.random.default_rng(distance)
