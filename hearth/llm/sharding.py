@@ -22,6 +22,8 @@ are interchangeable. Nulls hash like any value.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,13 @@ from hearth.llm.common import materialise, unit_hash
 
 MAX_SIDE = 1024
 BLOCK_ROWS = 8192
-#: Candidates per draw; all are rejected with probability below 1e-40, and then the mode is taken.
-TRIES = 96
+#: Candidates per draw; all are rejected with probability below 1e-25, and then the mode is taken.
+TRIES = 48
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.transform(F.array(value), lambda x: body(x))[0]
 
 
 def ln_factorial(n: Column) -> Column:
@@ -44,33 +51,58 @@ def ln_factorial(n: Column) -> Column:
 
 def hypergeometric(good: Column, bad: Column, sample: Column, *seed: Column) -> Column:
     """How many of ``sample`` draws without replacement from good + bad are good (doubles holding whole numbers)."""
-    small, large = F.least(good, bad), F.greatest(good, bad)
-    pool = good + bad
-    taken = F.least(sample, pool - sample)
-    share = small / pool
-    centre = taken * share + 0.5
-    spread = F.sqrt((pool - taken) * taken * share * (1 - share) / F.greatest(pool - 1, F.lit(1.0)) + 0.5)
-    width = F.lit(1.7155277699214135) * spread + F.lit(0.8989161620588988)  # 2 sqrt(2/e), 3 - 2 sqrt(3/e)
-    mode = F.floor((taken + 1) * (small + 1) / (pool + 2)).cast("double")
-    top = F.least(F.least(taken, small) + 1, F.floor(centre + 16 * spread).cast("double"))
-
-    def weight(z: Column) -> Column:
-        return ln_factorial(z) + ln_factorial(small - z) + ln_factorial(taken - z) + ln_factorial(large - taken + z)
-
-    def candidate(i: Column) -> Column:
-        u = unit_hash(*seed, i, seed=101) + F.lit(2.0**-54)
-        v = unit_hash(*seed, i, seed=202)
-        return F.struct(u.alias("u"), (centre + width * (v - 0.5) / u).alias("w"))
-
-    def accept(c: Column) -> Column:
-        z = F.floor(c["w"]).cast("double")
-        return (c["w"] >= 0) & (c["w"] < top) & (z >= taken - large) & (2 * F.log(c["u"]) <= weight(mode) - weight(z))
-
-    drawn = F.filter(F.transform(F.sequence(F.lit(1), F.lit(TRIES)), candidate), accept)
-    z = F.coalesce(F.floor(F.get(drawn, F.lit(0))["w"]).cast("double"), mode)
-    of_small = F.when(good <= bad, z).otherwise(taken - z)
-    of_sample = F.when(taken == sample, of_small).otherwise(good - of_small)
-    return F.when((good <= 0) | (sample <= 0), F.lit(0.0)).when(bad <= 0, sample).when(sample >= pool, good).otherwise(of_sample)
+
+    def urn(a: Column) -> Column:
+        pool = a["good"] + a["bad"]
+        return F.struct(
+            a["good"].alias("good"), a["bad"].alias("bad"), a["sample"].alias("sample"), pool.alias("pool"),
+            F.least(a["good"], a["bad"]).alias("small"), F.greatest(a["good"], a["bad"]).alias("large"), F.least(a["sample"], pool - a["sample"]).alias("taken"),
+        )
+
+    def weight(b: Column, z: Column) -> Column:
+        return let(z, lambda k: ln_factorial(k) + ln_factorial(b["small"] - k) + ln_factorial(b["taken"] - k) + ln_factorial(b["large"] - b["taken"] + k))
+
+    def draw(b: Column) -> Column:
+        share = b["small"] / b["pool"]
+        variance = (b["pool"] - b["taken"]) * b["taken"] * share * (1 - share) / F.greatest(b["pool"] - 1, F.lit(1.0))
+        shape = F.struct(
+            (b["taken"] * share + 0.5).alias("centre"), F.sqrt(variance + 0.5).alias("spread"),
+            F.floor((b["taken"] + 1) * (b["small"] + 1) / (b["pool"] + 2)).cast("double").alias("mode"), b.alias("b"),
+        )
+        return let(shape, sampled)
+
+    def sampled(c: Column) -> Column:
+        b = c["b"]
+        width = F.lit(1.7155277699214135) * c["spread"] + F.lit(0.8989161620588988)  # 2 sqrt(2/e), 3 - 2 sqrt(3/e)
+        top = F.least(F.least(b["taken"], b["small"]) + 1, F.floor(c["centre"] + 16 * c["spread"]).cast("double"))
+        bounds = F.struct(c["centre"].alias("centre"), width.alias("width"), top.alias("top"), c["mode"].alias("mode"), weight(b, c["mode"]).alias("most"), b.alias("b"))
+        return let(bounds, first_accepted)
+
+    def first_accepted(d: Column) -> Column:
+        b = d["b"]
+
+        def candidate(i: Column) -> Column:
+            u = unit_hash(*seed, i, seed=101) + F.lit(2.0**-54)
+            v = unit_hash(*seed, i, seed=202)
+            return let(u, lambda x: F.struct(x.alias("u"), (d["centre"] + d["width"] * (v - 0.5) / x).alias("w")))
+
+        def accept(c: Column) -> Column:
+            z = F.floor(c["w"]).cast("double")
+            return (c["w"] >= 0) & (c["w"] < d["top"]) & (z >= b["taken"] - b["large"]) & (2 * F.log(c["u"]) <= d["most"] - weight(b, z))
+
+        drawn = F.filter(F.transform(F.sequence(F.lit(1), F.lit(TRIES)), candidate), accept)
+        return let(F.coalesce(F.floor(F.get(drawn, F.lit(0))["w"]).cast("double"), d["mode"]), lambda z: unfold(b, z))
+
+    def unfold(b: Column, z: Column) -> Column:
+        """From draws of the rarer kind in the smaller part to draws of the good kind in the sample."""
+        of_small = F.when(b["good"] <= b["bad"], z).otherwise(b["taken"] - z)
+        return F.when(b["taken"] == b["sample"], of_small).otherwise(b["good"] - of_small)
+
+    def checked(b: Column) -> Column:
+        return F.when((b["good"] <= 0) | (b["sample"] <= 0), F.lit(0.0)).when(b["bad"] <= 0, b["sample"]).when(b["sample"] >= b["pool"], b["good"]).otherwise(draw(b))
+
+    given = F.struct(good.alias("good"), bad.alias("bad"), sample.alias("sample"))
+    return let(let(given, urn), checked)
 
 
 def halve(node: DataFrame, level: int, seed: int) -> DataFrame:
@@ -84,10 +116,7 @@ def halve(node: DataFrame, level: int, seed: int) -> DataFrame:
 
     def deal(state: Column, cap: Column) -> Column:
         got = hypergeometric(cap, state["pool"] - cap, state["sample"], F.lit(seed), F.lit(level), F.col("first"), F.size(state["dealt"]))
-        drawn = F.transform(F.array(got), lambda x: x)  # evaluated once, used twice
-        return F.transform(
-            drawn, lambda x: F.struct((state["sample"] - x).alias("sample"), (state["pool"] - cap).alias("pool"), F.concat(state["dealt"], F.array(x)).alias("dealt"))
-        )[0]
+        return let(got, lambda x: F.struct((state["sample"] - x).alias("sample"), (state["pool"] - cap).alias("pool"), F.concat(state["dealt"], F.array(x)).alias("dealt")))
 
     dealt = node.withColumn("left", F.aggregate("caps", zero, deal)["dealt"])
     left = F.struct(F.col("first").alias("first"), left_sizes.alias("sizes"), F.col("left").alias("caps"))
