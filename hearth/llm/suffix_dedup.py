@@ -329,12 +329,13 @@ def repeated(keyed: DataFrame, text_col: str, length: int, group: int) -> DataFr
     """(a, b, p, n): runs of windows of each text that occur elsewhere."""
     spark = keyed.sparkSession
     every = materialise(spark, anchors(keyed, text_col, length), "anchors")
-    twice = every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    # the counts are written first: a join of two plain exchanges is one that adaptive execution can split at hot grams
+    twice = materialise(spark, every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"), "shared_grams")
     shared = materialise(spark, every.join(twice, "gram", "left_semi"), "shared_anchors")
     classes = shared.groupBy("gram", "d").agg(F.count("*").alias("copies"), F.min(F.struct("a", "b", "p", "n", "q")).alias("r"))
     classes = materialise(spark, classes, "regions")
     copied = shared.join(classes.where("copies > 1").select("gram", "d"), ["gram", "d"], "left_semi").select("a", "b", "p", "n")
-    contested = classes.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
+    contested = materialise(spark, classes.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "contested_grams")
     salts = F.ceil(F.col("m") / F.lit(group)).cast("int")
     members = classes.join(contested, "gram").select(
         "gram", F.pmod(F.xxhash64("d"), salts.cast("long")).cast("int").alias("salt"), salts.alias("salts"), "r.*", F.least("copies", F.lit(2)).cast("int").alias("weight")
