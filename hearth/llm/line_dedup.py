@@ -35,20 +35,21 @@ def host_of(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """Visible lines of a page, blanks collapsed, empty ones left out."""
-    visible = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), r"[ \t\r\n\f]+", " ")
+    visible = F.translate(F.regexp_replace(html, HIDDEN, ""), "\t\r\n\f", "    ")
     text = F.regexp_replace(F.regexp_replace(visible, BLOCK, "\n"), TAG, "")
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda s: F.trim(F.regexp_replace(s, " +", " "))), lambda s: s != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda s: F.trim(F.regexp_replace(s, " {2,}", " "))), lambda s: s != "")
 
 
 def drop_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_ratio: float = 0.3, min_pages: int = 3) -> DataFrame:
     """One row per page: id, host, n_lines, n_dropped and the kept lines joined by newlines."""
     spark = pages.sparkSession
-    page = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), html_lines(F.col(html_col)).alias("lines"))
-    key = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("\0null")), "host", F.hex(F.xxhash64("lines")), F.hex(F.xxhash64(F.lit(1), "lines")))
-    page = materialise(spark, page.withColumn("key", key), "pages")
-    sites = page.where("host is not null").groupBy("host").agg(F.count("*").alias("pages"))
+    host, html = host_of(F.col(url_col)), F.col(html_col)
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("\0null")), host, F.hex(F.xxhash64(html)), F.hex(F.xxhash64(F.lit(1), html)))
+    page = pages.select(F.col(id_col).alias("id"), host.alias("host"), html_lines(html).alias("lines"), key.alias("key"))
     line_hash = lambda s: F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b"))
-    hashed = page.where("host is not null").select("key", "host", F.transform("lines", line_hash).alias("h"))
+    # the hashes are written once; the lines themselves are cut again where they are needed, which costs less than storing them
+    hashed = materialise(spark, page.where("host is not null").select("key", "host", F.transform("lines", line_hash).alias("h")), "lines")
+    sites = hashed.groupBy("host").agg(F.count("*").alias("pages"))
     seen = hashed.select("host", F.explode(F.array_distinct("h")).alias("h")).groupBy("host", "h.a", "h.b").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     frequent = seen.join(sites, "host").where(F.col("n") > F.lit(max_ratio) * F.col("pages")).select("host", "a", "b")
     placed = hashed.select("key", "host", F.posexplode("h").alias("at", "h")).select("key", "host", "at", "h.a", "h.b")
