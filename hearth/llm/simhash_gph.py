@@ -229,16 +229,19 @@ def links(fps: DataFrame, total: int, max_distance: int = 2, bucket_limit: int =
 
 
 def classes(fps: DataFrame, id_col: str, max_distance: int, bucket_limit: int) -> DataFrame:
-    """(fp, component_id) for every distinct fingerprint; ``fps`` holds fp and the smallest id of its rows."""
+    """(fp, root, component_id) for every distinct fingerprint; ``fps`` holds fp and the smallest id of its rows.
+
+    ``root`` is the smallest fingerprint of the component, hence tells components apart whatever their ids.
+    """
     linked = connected_components(links(fps, fps.count(), max_distance, bucket_limit), "a", "b")
     members = materialise(fps.sparkSession, linked.join(fps, linked["node"] == fps["fp"]).select("fp", "root", id_col), "simhash_members")
     roots = members.groupBy("root").agg(F.min(id_col).alias("component_id"))
-    found = members.join(roots, "root").select("fp", "component_id")
-    return fps.join(found, "fp", "left").select("fp", F.coalesce("component_id", F.col(id_col)).alias("component_id"))
+    found = members.join(roots, "root").select("fp", "root", "component_id")
+    return fps.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", F.col(id_col)).alias("component_id"))
 
 
 def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 2, bucket_limit: int = 32) -> DataFrame:
-    """One row per row of ``df``: its id, row key, ``fp`` (signed) and ``component_id``, the smallest id reachable."""
+    """One row per row of ``df``: its id, row key, ``fp`` (signed), ``root`` of its component and ``component_id``, the smallest id reachable."""
     spark = df.sparkSession
     keyed = df.select(F.col(id_col), F.col(text_col), row_key(id_col, text_col).alias("row_key"))
     rows = materialise(spark, fingerprints(keyed, text_col, "fp", shingle_words), "simhash_rows")
@@ -253,13 +256,12 @@ def hex_fingerprint(fp: Column) -> Column:
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
     """``df`` with one row of each near-duplicate group: the one with the smallest id (ties: smallest row key).
 
-    A group whose ids are all null keeps the row with the smallest key; groups
-    with null ids only are told apart by their fingerprint, so a later copy of
-    such a text goes too.
+    Groups are components of fingerprints; ids only choose the row that stays, so
+    they may repeat or be null. A group whose ids are all null keeps the row with
+    the smallest key.
     """
     rows = cluster(df, id_col, text_col, shingle_words, max_distance)
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp:"), F.hex("fp")))
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("row_key"))
-    keep = rows.groupBy(group.alias("g")).agg(F.min(order).alias("best")).select(F.col("best.row_key").alias("__key")).distinct()
+    keep = rows.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.row_key").alias("__key")).distinct()
     keyed = df.withColumn("__key", row_key(id_col, text_col))
     return keyed.join(keep, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -113,6 +113,33 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert kept == [(-1, "e"), (1, "d"), (3, "b")]
 
 
+def near_copies(distance):
+    """Two texts whose fingerprints differ in ``distance`` bits."""
+    base = [f"word{i}" for i in range(400)]
+    for at in range(400):
+        near = " ".join([*base[:at], "edited", *base[at + 1 :]])
+        if bin(brute_fingerprint(" ".join(base)) ^ brute_fingerprint(near)).count("1") == distance:
+            return " ".join(base), near
+    raise AssertionError("no such pair")
+
+
+def test_near_dedup_tells_groups_with_one_id_apart(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(50)) for w in ("ant", "bee", "cat")]
+    one, near = near_copies(1)
+    rows = [*[(5, t) for t in texts], (5, texts[0]), (5, one), (9, near)]
+    kept = S.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted((5, t) for t in [*texts, one])
+
+
+@pytest.mark.parametrize("distance", [1, 2])
+def test_near_dedup_finds_near_copies_without_ids(spark, distance):
+    one, near = near_copies(distance)
+    other = "quite another text here"
+    df = spark.createDataFrame([(None, one), (None, near), (None, other), (None, other)], "doc_id long, text string")
+    kept = sorted(r["text"] for r in S.near_dedup(df).collect())
+    assert len(kept) == 2 and other in kept
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.cluster(df).count() == 0
