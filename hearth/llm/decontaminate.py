@@ -51,7 +51,7 @@ class ItemAutomaton:
     link: list[int] = field(default_factory=lambda: [-1])
     #: state -> items whose window of ``window`` words ends there
     windows: dict[int, tuple[str, ...]] = field(default_factory=dict)
-    #: state -> (words, item) of short items that end there, longest first
+    #: state -> (words, item) of short items that end there, longest first; every length of an item's name
     short: dict[int, list[tuple[int, str]]] = field(default_factory=dict)
 
     @classmethod
@@ -96,7 +96,7 @@ class ItemAutomaton:
 
     def _mark(self, named: list[tuple[str, list[int]]]) -> None:
         holders: dict[int, set[str]] = {}
-        ends: dict[int, dict[str, int]] = {}
+        ends: dict[int, set[tuple[int, str]]] = {}
         for name, tokens in named:
             at = 0
             for token in tokens:
@@ -105,17 +105,16 @@ class ItemAutomaton:
                     holders[up].add(name)
                     up = self.link[up]
             if len(tokens) < self.window:
-                ends.setdefault(at, {})[name] = len(tokens)
+                ends.setdefault(at, set()).add((len(tokens), name))
         for state in range(1, len(self.length)):
-            at, found = state, {}
+            at, found = state, set()
             while at > 0:
                 if self.length[at] >= self.window > self.length[self.link[at]]:
                     self.windows[state] = tuple(sorted(holders.get(at, ())))
-                for name, n in ends.get(at, {}).items():
-                    found[name] = max(n, found.get(name, 0))
+                found |= ends.get(at, set())
                 at = self.link[at]
             if found:
-                self.short[state] = sorted(((n, name) for name, n in found.items()), reverse=True)
+                self.short[state] = sorted(found, reverse=True)
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Maximal hit spans (word numbers, end excluded) and the items that occur."""

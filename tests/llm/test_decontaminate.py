@@ -61,6 +61,16 @@ def test_edge_cases(spark):
     check(spark, docs, items, 13, 200_000)
 
 
+def test_short_items_of_one_name_that_end_alike(spark):
+    docs = [(0, "x b c"), (1, "a b c"), (2, "x c"), (3, "b c a b c"), (4, "c")]
+    for name in ("i", None):
+        items = [(name, "a b c"), (name, "c"), (name, "d e"), ("j", "e")]
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        bench = spark.createDataFrame(items, "item_id string, text string")
+        got = {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in D.scan(df, bench).withColumn("n_hit", D.hit_words()).collect()}
+        assert got == {i: brute(t, [(n or "", w) for n, w in items], 13) for i, t in docs}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
