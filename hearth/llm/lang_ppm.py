@@ -13,7 +13,10 @@ exact code length of a text is a sum of table entries. The language with the
 shortest code length wins (ties: the smallest label).
 
 Training text is a sample of at most about ``train_bytes`` bytes, split evenly
-over the labels (whole texts, chosen by a hash of the text). The model holds
+over the labels: pieces of ``PIECE`` bytes, chosen by a hash of the text and the
+piece's number, at least one of every label. A text that a label repeats counts
+once. Pieces carry the bytes before them as context, so all pieces of a text
+count what the whole text does. A label without any text is not learned. The model holds
 one entry per distinct (order + 1)-gram of it, hence is bounded; it is
 broadcast. Texts are lower-cased first. Scoring walks whole texts in blocks of
 ``BLOCK`` bytes, so memory does not depend on text length.
@@ -38,6 +41,7 @@ from hearth.llm.common import append_columns, text_bytes, unit_hash
 
 UNDETERMINED = "und"
 BLOCK = 1 << 20
+PIECE = 1 << 12
 RAW_BITS = 8.0
 
 
@@ -61,23 +65,28 @@ def gram_codes(raw: np.ndarray, offsets: np.ndarray, order: int, start: int, sto
     return codes, rows
 
 
-def gram_counts(df: DataFrame, text_col: str, label_col: str, order: int) -> DataFrame:
-    """(label, gram, n) over the texts, grams counted per block before the shuffle."""
+def gram_counts(pieces: DataFrame, order: int) -> DataFrame:
+    """(label, gram, n) over pieces (raw, label, lead), grams counted per block before the shuffle.
+
+    The first ``lead`` bytes of a piece are context only.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offs = text_bytes(batch.column(0))
             labels = np.asarray(batch.column(1).to_pylist(), dtype=object)
             names, which = np.unique(labels.astype(str), return_inverse=True)
+            begin = offs[:-1] + batch.column(2).to_numpy(zero_copy_only=False)
             for start in range(0, int(offs[-1]), BLOCK):
                 codes, rows = gram_codes(raw, offs, order, start, min(start + BLOCK, int(offs[-1])))
-                of = which[rows]
+                counted = np.arange(start, start + len(codes)) >= begin[rows]
+                codes, of = codes[counted], which[rows[counted]]
                 for i, name in enumerate(names):
                     grams, n = np.unique(codes[of == i], return_counts=True)
                     if len(grams):
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams)), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["label", "gram", "n"])
 
-    grams = df.select(text_col, label_col).mapInArrow(count, "label string, gram long, n long")
+    grams = pieces.select("raw", "label", "lead").mapInArrow(count, "label string, gram long, n long")
     return grams.groupBy("label", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -180,17 +189,33 @@ class PpmModel:
         return out
 
 
-def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", order: int = 4, train_bytes: int = 8_000_000) -> PpmModel:
-    """Fit on the rows of ``df`` that have text and label, at most about ``train_bytes`` bytes of them."""
-    rows = df.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.lower(text_col).alias(text_col), F.col(label_col).cast("string").alias(label_col))
-    sizes = {r[0]: r[1] for r in rows.groupBy(label_col).agg(F.sum(F.octet_length(text_col)).alias("b")).collect()}
+def training_pieces(df: DataFrame, text_col: str, label_col: str, order: int, train_bytes: int) -> tuple[list[str], DataFrame | None]:
+    """The labels that have text, and the sample as rows (label, raw, lead): a piece's bytes, the first ``lead`` of them context."""
+    texts = df.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(F.lower(text_col).alias("t"), F.col(label_col).cast("string").alias("label"))
+    rows = texts.where("t != ''").select("label", F.col("t").cast("binary").alias("raw"), F.xxhash64("t").alias("a"), F.xxhash64(F.lit(1), "t").alias("b"))
+    size = F.octet_length("raw")
+    numbers = F.sequence(F.lit(0), F.floor((size - 1) / PIECE).cast("int"))
+    draw = lambda i: unit_hash("a", "b", i, seed=2)
+    distinct = rows.select("label", "a", "b", size.alias("size"), F.array_min(F.transform(numbers, draw)).alias("low")).distinct()
+    sizes = {r["label"]: (r["size"], r["low"]) for r in distinct.groupBy("label").agg(F.sum("size").alias("size"), F.min("low").alias("low")).collect()}
     labels = sorted(sizes)
     if not labels:
-        return PpmModel.fit([], order, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0))
+        return [], None
     share = train_bytes / len(labels)
-    rate = F.coalesce(*[F.when(F.col(label_col) == name, min(1.0, share / max(sizes[name], 1))) for name in labels])
-    sample = rows.where(unit_hash(text_col, seed=2) < rate)
-    grams = gram_counts(sample, text_col, label_col, order).toPandas()
+    bound = F.coalesce(*[F.when(F.col("label") == name, max(min(1.0, share / sizes[name][0]), sizes[name][1])) for name in labels])
+    lead = lambda i: F.least(i * PIECE, F.lit(order))
+    cut = lambda i: F.struct(i.alias("piece"), lead(i).alias("lead"), F.substring("raw", i * PIECE - lead(i) + 1, lead(i) + PIECE).alias("raw"))
+    chosen = rows.withColumn("bound", bound).select("label", "a", "b", F.explode(F.transform(F.filter(numbers, lambda i: draw(i) <= F.col("bound")), cut)).alias("p"))
+    once = chosen.groupBy("label", "a", "b", "p.piece").agg(F.first("p.raw").alias("raw"), F.first("p.lead").alias("lead"))
+    return labels, once.select("label", "raw", "lead")
+
+
+def train(df: DataFrame, text_col: str = "text", label_col: str = "lang", order: int = 4, train_bytes: int = 8_000_000) -> PpmModel:
+    """Fit on the rows of ``df`` that have text and label, at most about ``train_bytes`` bytes of them."""
+    labels, pieces = training_pieces(df, text_col, label_col, order, train_bytes)
+    if pieces is None:
+        return PpmModel.fit([], order, np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0))
+    grams = gram_counts(pieces, order).toPandas()
     index = {name: i for i, name in enumerate(labels)}
     return PpmModel.fit(labels, order, grams["label"].map(index).to_numpy(np.int64), grams["gram"].to_numpy(np.int64).view(np.uint64), grams["n"].to_numpy(np.float64))
 

@@ -79,6 +79,36 @@ def test_without_labels_everything_is_undetermined(spark):
     assert P.identify(none.limit(0), m).count() == 0
 
 
+def test_pieces_count_what_whole_texts_do(spark, monkeypatch):
+    monkeypatch.setattr(P, "PIECE", 7)
+    test_code_lengths_are_those_of_the_context_trees(spark)
+    monkeypatch.setattr(P, "PIECE", 2)  # shorter than the context
+    test_code_lengths_are_those_of_the_context_trees(spark)
+
+
+def test_every_label_is_learned_from_few_very_long_texts(spark):
+    rng = np.random.default_rng(3)
+    words = {lang: [w for t in ts for w in t.split()] for lang, ts in SAMPLES.items()}
+    long = [(lang, " ".join(rng.choice(words[lang], 60_000))) for lang in SAMPLES for _ in range(2)]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(long)], "doc_id long, text string, lang string")
+    for budget in (30_000, 30):  # a share of several pieces, and of less than one
+        labels, pieces = P.training_pieces(df, "text", "lang", 4, budget)
+        got = {r["label"]: r["n"] for r in pieces.groupBy("label").agg(F.sum(F.octet_length("raw") - F.col("lead")).alias("n")).collect()}
+        assert labels == sorted(SAMPLES) == sorted(got)
+        assert all(0 < n <= 3 * max(budget / 3, P.PIECE) for n in got.values())
+    found = P.identify(df, P.train(df, train_bytes=30_000)).select("lang", "lang_pred", "bits_per_byte").collect()
+    assert all(r["lang"] == r["lang_pred"] and r["bits_per_byte"] < 4 for r in found)
+
+
+def test_repeated_texts_count_once_and_labels_without_text_are_not_learned(spark):
+    rows = [("en", "one repeated text " * 50)] * 500 + [("en", f"another text {i}") for i in range(20)] + [("fr", "un texte"), ("de", "")]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels, pieces = P.training_pieces(df, "text", "lang", 4, 100_000)
+    assert labels == ["en", "fr"]
+    got = sorted((r["label"], bytes(r["raw"]).decode()) for r in pieces.collect())
+    assert got == sorted({(lang, t) for lang, t in rows if t})
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     m = P.train(docs.where(~P.held_out()))
