@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, decontaminate, lang_ppm, line_dedup, mixing, multi_index, sharding, simhash_gph, suffix_dedup, toxicity
+from hearth.llm import chat_format, decontaminate, lang_ppm, line_dedup, mixing, multi_index, period_runs, sharding, simhash_gph, suffix_dedup, toxicity
 from hearth.llm.common import materialise
 
 
@@ -88,10 +89,35 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"), max_ratio=0.3, min_pages=3)
 
 
+def planted_cycles(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document, a tenth of the documents (by their id's checksum) made periodic from some word on."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    n = len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the document without their repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = period_runs.collapse_runs(docs, min_length=6, min_exponent=4, rewrite=planted_cycles)
+    best = period_runs.longest_run(F.col("runs"))
+    milli = (F.lit(1000) * best["length"] - F.pmod(F.lit(1000) * best["length"], best["period"])) / best["period"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), milli.cast("long").alias("exponent_milli"),
+        F.sha2(period_runs.run_lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_sharding, op2_language_id, op3_suffix_dedup, op4_toxicity, op5_chat_format, op6_decontaminate,
-        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup,
+        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup, op12_periodic_runs,
     )
     return {f.__name__: f for f in every}
 
