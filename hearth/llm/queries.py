@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, decontaminate, lang_ppm, line_dedup, mixing, multi_index, period_runs, sharding, simhash_gph, suffix_dedup, toxicity
+from hearth.llm import chat_format, chat_repair, decontaminate, lang_ppm, line_dedup, mixing, multi_index, period_runs, sharding, simhash_gph, suffix_dedup, toxicity
 from hearth.llm.common import materialise
 
 
@@ -114,10 +114,27 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Turns with the faults that a checksum of (conversation, turn) plants; nulls are one space."""
+    kind = F.pmod(F.crc32(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])), F.lit(20))
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")).where("kind != 0").select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_repair.repair(damaged_conversations(rows), ids=rows)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_sharding, op2_language_id, op3_suffix_dedup, op4_toxicity, op5_chat_format, op6_decontaminate,
-        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup, op12_periodic_runs,
+        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup, op12_periodic_runs, op13_conversation_repair,
     )
     return {f.__name__: f for f in every}
 
@@ -189,5 +206,59 @@ FROM l LEFT JOIN kept USING (k)
 """
 
 
+OP13_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), crc AS (
+  SELECT k, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, len(k) + 1), lambda i: [CAST(ascii(k[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END)) % 20 AS kind
+  FROM (SELECT DISTINCT k FROM src)
+), dmg AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), '') AS ck, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM src JOIN crc USING (k) WHERE kind <> 0
+), pos AS (
+  SELECT ck, turn, role, text, row_number() OVER (PARTITION BY ck ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM dmg
+), rows AS (
+  SELECT *, substr(role, 1, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY ck, role, text ORDER BY i) > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE 'o' END AS f, lag(substr(role, 1, 1)) OVER (PARTITION BY ck ORDER BY i) AS before
+  FROM pos
+), dp AS (
+  SELECT ck, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'a': ''} AS z, {'c': CAST(1000000000000 AS BIGINT), 'a': ''} AS s, {'c': CAST(1000000000000 AS BIGINT), 'a': ''} AS u, {'c': CAST(1000000000000 AS BIGINT), 'a': ''} AS a
+  FROM (SELECT DISTINCT ck FROM rows)
+  UNION ALL
+  SELECT ck, i, {'c': z.c + 4, 'a': z.a || 'D'},
+    list_min([{'c': s.c + 4, 'a': s.a || 'D'}, {'c': z.c + x + (CASE WHEN r = 's' THEN 0 ELSE 1000000000000 END), 'a': z.a || 'K'}]),
+    list_min([{'c': u.c + 4, 'a': u.a || 'D'}, {'c': z.c + x + 3, 'a': z.a || 'R'}, {'c': s.c + x + 3, 'a': s.a || 'R'}, {'c': a.c + x + 3, 'a': a.a || 'R'},
+      {'c': z.c + x + ku, 'a': z.a || 'K'}, {'c': s.c + x + ku, 'a': s.a || 'K'}, {'c': a.c + x + ku, 'a': a.a || 'K'}]),
+    list_min([{'c': a.c + 4, 'a': a.a || 'D'}, {'c': u.c + x + 3, 'a': u.a || 'R'}, {'c': u.c + x + (CASE WHEN r = 'a' THEN 0 ELSE 1000000000000 END), 'a': u.a || 'K'}])
+  FROM (
+    SELECT ck, i, r, x, z, s, u, CASE WHEN r = 'u' THEN 0 ELSE 1000000000000 END AS ku, list_min([a, {'c': u.c + 3, 'a': u.a || 'I'}]) AS a
+    FROM (
+      SELECT dp.ck, n.i, n.r, CASE n.f WHEN 'o' THEN 0 WHEN 't' THEN 3 ELSE 1000000000000 END AS x, dp.z, dp.s, dp.a,
+        list_min([dp.u, {'c': dp.z.c + 3, 'a': dp.z.a || 'I'}, {'c': dp.s.c + 3, 'a': dp.s.a || 'I'}, {'c': dp.a.c + 3, 'a': dp.a.a || 'I'}]) AS u
+      FROM dp JOIN rows n ON n.ck = dp.ck AND n.i = dp.i + 1))
+), fin AS (
+  SELECT ck, list_min([z, a, {'c': u.c + 3, 'a': u.a || 'I'}, {'c': s.c + 6, 'a': s.a || 'II'}]) AS best
+  FROM dp JOIN (SELECT ck, max(i) AS i FROM rows GROUP BY ck) USING (ck, i)
+), letters AS (
+  SELECT ck, j, substr(best.a, j, 1) AS e FROM (SELECT ck, best, unnest(range(1, len(best.a) + 1)) AS j FROM fin)
+), placed AS (
+  SELECT *, CASE WHEN e <> 'I' THEN sum(CAST(e <> 'I' AS INTEGER)) OVER (PARTITION BY ck ORDER BY j) END AS i FROM letters
+), out AS (
+  SELECT p.ck, p.j, p.e, n.role, coalesce(n.text, '') AS text, row_number() OVER (PARTITION BY p.ck ORDER BY p.j) - first_value(CASE WHEN p.e = 'K' AND n.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.ck ORDER BY p.j) AS turn
+  FROM (SELECT * FROM placed WHERE e <> 'D') p LEFT JOIN rows n ON n.ck = p.ck AND n.i = p.i AND p.e <> 'I'
+), said AS (
+  SELECT ck, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN turn % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j)) AS h FROM out GROUP BY ck
+), counted AS (
+  SELECT ck, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY ck
+)
+SELECT v.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '') AS ck FROM conversations) v LEFT JOIN counted USING (ck) LEFT JOIN fin USING (ck) LEFT JOIN said USING (ck)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op5_chat_format": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_line_dedup": OP10_SQL, "op13_conversation_repair": OP13_SQL}
