@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import chat_format, chat_repair, decontaminate, lang_ppm, line_dedup, mixing, multi_index, period_runs, sharding, simhash_gph, suffix_dedup, toxicity
+from hearth.llm import chat_format, chat_repair, decontaminate, lang_ppm, line_dedup, minhash_bottomk, mixing, multi_index, period_runs, sharding, simhash_gph, suffix_dedup, toxicity
 from hearth.llm.common import materialise
 
 
@@ -89,6 +89,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"), max_ratio=0.3, min_pages=3)
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document by the Jaccard similarity of its four-word shingles."""
+    return minhash_bottomk.cluster(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 def planted_cycles(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words of a document, a tenth of the documents (by their id's checksum) made periodic from some word on."""
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -134,7 +139,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_sharding, op2_language_id, op3_suffix_dedup, op4_toxicity, op5_chat_format, op6_decontaminate,
-        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup, op12_periodic_runs, op13_conversation_repair,
+        op7_simhash_dedup, op8_mixing, op9_multi_index, op10_line_dedup, op11_minhash_dedup, op12_periodic_runs, op13_conversation_repair,
     )
     return {f.__name__: f for f in every}
 
@@ -260,5 +265,35 @@ FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), '') AS ck FROM
 """
 
 
+OP11_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), d AS (
+  SELECT k, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')))) END AS s FROM w
+), c AS (
+  SELECT min(k) AS c, s, len(s) AS n FROM d GROUP BY s
+), t AS (
+  SELECT c, n, unnest(s) AS v FROM c
+), rare AS (
+  SELECT c, n, v, row_number() OVER (PARTITION BY c ORDER BY h, v) AS r FROM (SELECT c, n, v, count(*) OVER (PARTITION BY v) AS h FROM t)
+), cand AS (
+  SELECT DISTINCT a.c AS a, b.c AS b FROM rare a JOIN rare b ON a.v = b.v AND a.c < b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  WHERE a.r <= a.n - (80 * a.n + 99) // 100 + 1 AND b.r <= b.n - (80 * b.n + 99) // 100 + 1
+), link AS (
+  SELECT a, b FROM (SELECT a, b, x.n + y.n AS n, len(list_intersect(x.s, y.s)) AS i FROM cand JOIN c x ON x.c = a JOIN c y ON y.c = b) WHERE 100 * i >= 80 * (n - i)
+), e AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT c AS a, c AS b FROM c UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b
+), named AS (
+  SELECT r.a AS c, min(d.doc_id) AS component_id FROM reach r JOIN c x ON x.c = r.b JOIN d ON d.s = x.s GROUP BY r.a
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, CASE WHEN len(d.s) = 0 THEN d.doc_id ELSE component_id END AS component_id,
+  d.doc_id IS NOT DISTINCT FROM (CASE WHEN len(d.s) = 0 THEN d.doc_id ELSE component_id END) AS kept
+FROM d JOIN c ON c.s = d.s JOIN named ON named.c = c.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_line_dedup": OP10_SQL, "op13_conversation_repair": OP13_SQL}
+    return {"op5_chat_format": OP5_SQL, "op6_decontaminate": OP6_SQL, "op10_line_dedup": OP10_SQL, "op11_minhash_dedup": OP11_SQL, "op13_conversation_repair": OP13_SQL}
