@@ -34,6 +34,7 @@ its id is its component's. Input columns but id and text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import comb
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import append_columns, materialise, text_bytes
+from hearth.llm.common import append_columns, materialise, row_key, text_bytes
 from hearth.llm.components import connected_components
 
 K = 64
@@ -86,19 +87,25 @@ def list_array(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
 
 
-def shingle_sets(df: DataFrame, text_col: str = "text", size: int = 4, k: int = K) -> DataFrame:
-    """``df`` without its text, with the set's ``hashes``, their number ``n``, a 128-bit name ``cid`` of the set and the ``sketch`` of its k smallest hashes."""
+def shingle_sets(df: DataFrame, text_col: str = "text", size: int = 4, k: int = K, whole: bool = True) -> DataFrame:
+    """``df`` without its text, with the number ``n`` of its distinct shingles, a 128-bit name ``cid`` of their set, the ``sketch`` of the k smallest hashes and, if ``whole``, all ``hashes``."""
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         raw, offs = text_bytes(batch.column(batch.schema.get_field_index(text_col)))
-        known = WordHashes()
-        sets = [shingle_hashes(raw[a:b].tobytes(), size, known) for a, b in zip(offs[:-1], offs[1:], strict=True)]
-        names = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-        return [pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), list_array([s[:k] for s in sets]), list_array(sets)]
+        known, n, names, sketches, sets = WordHashes(), [], [], [], []
+        for a, b in zip(offs[:-1], offs[1:], strict=True):
+            hashes = shingle_hashes(raw[a:b].tobytes(), size, known)
+            n.append(len(hashes))
+            names.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+            sketches.append(hashes[:k].copy())
+            if whole:
+                sets.append(hashes)
+        found = [pa.array(n, pa.int64()), pa.array(names, pa.binary()), list_array(sketches)]
+        return [*found, list_array(sets)] if whole else found
 
     longs = T.ArrayType(T.LongType(), False)
     fields = [T.StructField("n", T.LongType()), T.StructField("cid", T.BinaryType()), T.StructField("sketch", longs), T.StructField("hashes", longs)]
-    return append_columns(df, compute, fields, drop=(text_col,))
+    return append_columns(df, compute, fields if whole else fields[:3], drop=(text_col,))
 
 
 def needed_overlap(k: int, percent: int, miss: float = 1e-10) -> int:
@@ -118,14 +125,14 @@ def needed(n: Column, k: int, percent: int) -> Column:
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(v, cid, n, typical): each class under the rarest values of its sketch that decide; ``typical`` grows with how common its values are."""
-    values = classes.select("cid", "n", F.explode("sketch").alias("v"))
+    """(v, node, n, typical): each class under the rarest values of its sketch that decide; ``typical`` grows with how common its values are."""
+    values = classes.select("node", F.explode("sketch").alias("v"))
     held = materialise(classes.sparkSession, values.groupBy("v").agg(F.count("*").alias("held")).where("held > 1"), "minhash_values")
-    shared = values.join(held, "v").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("held", "v"))).alias("s"))
-    shared = shared.withColumn("c", needed(F.col("n"), k, percent)).where(F.size("s") >= F.col("c"))
+    shared = values.join(held, "v").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("held", "v"))).alias("s"))
+    shared = shared.join(classes.select("node", "n"), "node").withColumn("c", needed(F.col("n"), k, percent)).where(F.size("s") >= F.col("c"))
     typical = F.aggregate("s", F.lit(0).cast("long"), lambda t, x: t + x["held"])
     rarest = F.slice("s", F.lit(1), F.size("s") - F.col("c") + 1)
-    return shared.select("cid", "n", typical.alias("typical"), F.explode(rarest).alias("e")).select("e.v", "cid", "n", "typical")
+    return shared.select("node", "n", typical.alias("typical"), F.explode(rarest).alias("e")).select("e.v", "node", "n", "typical")
 
 
 def comparable(n: Column, other: Column, percent: int) -> Column:
@@ -133,13 +140,13 @@ def comparable(n: Column, other: Column, percent: int) -> Column:
     return F.least(n, other) * 100 >= F.greatest(n, other) * percent
 
 
-def verified(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the distinct pairs (a, b) that the union sketch lets pass and whose whole sets reach the similarity."""
     spark = pairs.sparkSession
 
     def with_sets(df: DataFrame, column: str) -> DataFrame:
         for side in ("a", "b"):
-            own = classes.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"s_{side}"))
+            own = sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"s_{side}"))
             df = df.join(own, side)
         return df
 
@@ -154,35 +161,35 @@ def verified(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> Data
 
 def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Every list member with the list's most typical one."""
-    heads = lists.groupBy("v").agg(F.max(F.struct("typical", "cid", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    heads = materialise(lists.sparkSession, heads.select("v", F.col("head.cid").alias("head"), F.col("head.n").alias("head_n")), "minhash_heads")
-    met = lists.join(heads, "v").where((F.col("cid") != F.col("head")) & comparable(F.col("n"), F.col("head_n"), percent))
-    return met.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
+    heads = lists.groupBy("v").agg(F.max(F.struct("typical", "node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
+    heads = materialise(lists.sparkSession, heads.select("v", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "minhash_heads")
+    met = lists.join(heads, "v").where((F.col("node") != F.col("head")) & comparable(F.col("n"), F.col("head_n"), percent))
+    return met.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
 
 
 def cross_pairs(members: Column, percent: int) -> Column:
-    """Pairs (a, b) of an array of structs (cid, n, root, side) of different components; of different sides where both are set."""
+    """Pairs (a, b) of an array of structs (node, n, root, side) of different components; of different sides where both are set."""
 
     def partners(x: Column) -> Column:
         def meets(y: Column) -> Column:
-            ok = (x["cid"] < y["cid"]) & (x["root"] != y["root"]) & comparable(x["n"], y["n"], percent)
+            ok = (x["node"] < y["node"]) & (x["root"] != y["root"]) & comparable(x["n"], y["n"], percent)
             return ok & ((x["side"] == 0) | (x["side"] != y["side"]))
 
-        return F.transform(F.filter(members, meets), lambda y: F.struct(x["cid"].alias("a"), y["cid"].alias("b")))
+        return F.transform(F.filter(members, meets), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
 
     return F.flatten(F.transform(members, partners))
 
 
 def pairs_of(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    member = F.struct("cid", "n", "root", "side")
+    member = F.struct("node", "n", "root", "side")
     return rows.groupBy(*keys).agg(F.collect_list(member).alias("m")).select(F.explode(cross_pairs(F.col("m"), percent)).alias("p")).select("p.a", "p.b")
 
 
 def in_blocks(crowded: DataFrame, limit: int, percent: int) -> DataFrame:
     """Pairs across components of crowded lists: a list's members are cut into blocks, and every two blocks meet in a cell of their own."""
     blocks = F.ceil(F.col("size") / F.lit(limit)).cast("int")
-    block = F.pmod(F.xxhash64("cid", F.lit(5)), blocks).cast("int")
-    rows = crowded.select("v", "cid", "n", "root", blocks.alias("blocks"), block.alias("own"))
+    block = F.pmod(F.xxhash64("node", F.lit(5)), blocks).cast("int")
+    rows = crowded.select("v", "node", "n", "root", blocks.alias("blocks"), block.alias("own"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     # side 0: the cell of a block with itself
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
@@ -190,16 +197,21 @@ def in_blocks(crowded: DataFrame, limit: int, percent: int) -> DataFrame:
     return pairs_of(rows, ["v", "low", "high"], percent)
 
 
-def links(classes: DataFrame, percent: int = 80, k: int = K, limit: int = LIST_LIMIT, growth: int = 16) -> DataFrame:
-    """Verified links (a, b) whose transitive closure is that of all linking pairs of distinct sets; ``classes`` holds cid, n, sketch and hashes."""
+def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 80, k: int = K, limit: int = LIST_LIMIT, growth: int = 16) -> DataFrame:
+    """Verified links (a, b) whose transitive closure is that of all linking pairs of distinct sets.
+
+    ``classes`` holds node, n and sketch; ``sets_of`` adds sketch and ``hashes`` to a table of nodes.
+    """
     spark = classes.sparkSession
-    found, last = None, False
+    found, sets, last = None, None, False
     while True:
         lists = materialise(spark, inverted_lists(classes, k, percent), "minhash_lists")
-        stars = materialise(spark, verified(star_pairs(lists, percent), classes, k, percent), "minhash_links")
+        if sets is None:
+            sets = materialise(spark, sets_of(lists.select("node").distinct()), "minhash_sets")
+        stars = materialise(spark, verified(star_pairs(lists, percent), sets, k, percent), "minhash_links")
         found = stars if found is None else found.unionByName(stars)
         roots = materialise(spark, connected_components(found, "a", "b"), "minhash_roots")
-        placed = lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("v", "cid", "n", F.coalesce("root", "cid").alias("root"))
+        placed = lists.join(roots, "node", "left").select("v", "node", "n", F.coalesce("root", "node").alias("root"))
         placed = materialise(spark, placed, "minhash_placed")
         open_lists = placed.groupBy("v").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
         open_lists = materialise(spark, open_lists.select("v", "size"), "minhash_open")
@@ -209,26 +221,34 @@ def links(classes: DataFrame, percent: int = 80, k: int = K, limit: int = LIST_L
         any_left = not crowded.isEmpty()
         if any_left and last:
             pairs = pairs.unionByName(in_blocks(crowded, limit, percent))
-        found = found.unionByName(materialise(spark, verified(pairs.distinct(), classes, k, percent), "minhash_links"))
+        found = found.unionByName(materialise(spark, verified(pairs.distinct(), sets, k, percent), "minhash_links"))
         if last or not any_left:
             return found
         k, last = k * growth, True
-        again = classes.join(crowded.select("cid").distinct(), "cid", "left_semi")
-        classes = materialise(spark, again.withColumn("sketch", F.slice("hashes", 1, k)), "minhash_again")
+        again = sets.join(crowded.select("node").distinct(), "node", "left_semi")
+        sets = classes = materialise(spark, again.withColumn("sketch", F.slice("hashes", 1, k)), "minhash_again")
 
 
 def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, percent: int = 80, k: int = K, limit: int = LIST_LIMIT) -> DataFrame:
     """One row per row of ``df``: its id, ``n_shingles``, ``component_id`` (the smallest id that it reaches) and whether it is ``kept``."""
     spark = df.sparkSession
-    rows = materialise(spark, shingle_sets(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", shingle_words, k), "minhash_rows")
-    copies = rows.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "sketch", "hashes")])
-    classes = materialise(spark, copies, "minhash_classes")
-    linked = connected_components(links(classes, percent, k, limit), "a", "b").withColumnRenamed("node", "cid")
-    members = materialise(spark, linked.join(classes.select("cid", "id"), "cid"), "minhash_members")
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row"))
+    rows = materialise(spark, shingle_sets(texts, "text", shingle_words, k, whole=False), "minhash_rows")
+    copies = rows.where("n > 0").groupBy("cid").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    classes = materialise(spark, copies.withColumn("node", F.monotonically_increasing_id()), "minhash_classes")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Whole sets, hashed again from one text of each class: few classes share enough values to need them."""
+        wanted = materialise(spark, classes.select("node", "row").join(nodes, "node", "left_semi"), "minhash_wanted")
+        hashed = shingle_sets(texts.select("text", "row").join(wanted, "row").select("node", "text"), "text", shingle_words, k)
+        return hashed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "hashes")])  # repeated rows
+
+    linked = connected_components(links(classes, sets_of, percent, k, limit), "a", "b")
+    members = materialise(spark, linked.join(classes.select("node", "id"), "node"), "minhash_members")
     least = materialise(spark, members.groupBy("root").agg(F.min("id").alias("component")), "minhash_components")
-    joined = members.join(least, "root").select("cid", "component")
-    alone = classes.select("cid", "id").join(members.select("cid"), "cid", "left_anti").select("cid", F.col("id").alias("component"))
-    named = materialise(spark, joined.unionByName(alone), "minhash_named")
+    found = materialise(spark, members.join(least, "root").select("node", "component"), "minhash_found")
+    named = classes.select("node", "cid", "id").join(found, "node", "left").select("cid", F.coalesce("component", "id").alias("component"))
+    named = materialise(spark, named, "minhash_named")
     told = rows.select("id", "n", "cid").join(named, "cid", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return told.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
