@@ -11,13 +11,14 @@ either sketch, rare meaning held by few sketches, and only those enter the lists
 class with fewer than c values that anybody else holds enters none. Passages and
 phrases that many documents share are the most frequent values and drop out first.
 
-*Overlaps.* Every list first links its members to its most typical one (a star);
-components of the verified links are found, and lists that lie within one
-component are done: a group of n near copies costs n candidates, not n squared.
-What is left are lists over several components. Short ones give their pairs across
-components. The members of longer ones meet again with sketches 16 times as long,
-whose lists are shorter, and what is still crowded then is paired in a grid of
-blocks, so no list is cut, capped or held in one task.
+*Overlaps.* Every list first links its members to its most typical one (a star).
+Verified links show which members have the same hub, hence lie in one component;
+lists with one hub are done: a group of n near copies costs n candidates, not n
+squared. What is left are lists over several hubs. Short ones give their pairs of
+different hubs. The members of longer ones meet again with sketches 16 times as long,
+whose lists are shorter, and what is still crowded then meets in a grid of blocks
+where only pairs of similar sketches are emitted, so no list is cut, capped or held
+in one task.
 
 *Union sketches.* The k smallest values of two sketches together are a uniform
 sample of the union; the share that both hold estimates the similarity, and pairs
@@ -49,6 +50,7 @@ from hearth.llm.components import connected_components
 
 K = 64
 LIST_LIMIT = 64
+BLOCK = 256
 #: Odd multipliers of a shingle's words, in turn.
 TURNS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
@@ -168,36 +170,76 @@ def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_pairs(members: Column, percent: int) -> Column:
-    """Pairs (a, b) of an array of structs (node, n, root, side) of different components; of different sides where both are set."""
+    """Pairs (a, b) of different roots of an array of structs (node, n, root)."""
 
     def partners(x: Column) -> Column:
         def meets(y: Column) -> Column:
-            ok = (x["node"] < y["node"]) & (x["root"] != y["root"]) & comparable(x["n"], y["n"], percent)
-            return ok & ((x["side"] == 0) | (x["side"] != y["side"]))
+            return (x["node"] < y["node"]) & (x["root"] != y["root"]) & comparable(x["n"], y["n"], percent)
 
         return F.transform(F.filter(members, meets), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))
 
     return F.flatten(F.transform(members, partners))
 
 
-def pairs_of(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    member = F.struct("node", "n", "root", "side")
-    return rows.groupBy(*keys).agg(F.collect_list(member).alias("m")).select(F.explode(cross_pairs(F.col("m"), percent)).alias("p")).select("p.a", "p.b")
+def short_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different roots in lists of bounded size."""
+    member = F.struct("node", "n", "root")
+    return rows.groupBy("v").agg(F.collect_list(member).alias("m")).select(F.explode(cross_pairs(F.col("m"), percent)).alias("p")).select("p.a", "p.b")
 
 
-def in_blocks(crowded: DataFrame, limit: int, percent: int) -> DataFrame:
-    """Pairs across components of crowded lists: a list's members are cut into blocks, and every two blocks meet in a cell of their own."""
-    blocks = F.ceil(F.col("size") / F.lit(limit)).cast("int")
-    block = F.pmod(F.xxhash64("node", F.lit(5)), blocks).cast("int")
-    rows = crowded.select("v", "node", "n", "root", blocks.alias("blocks"), block.alias("own"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    # side 0: the cell of a block with itself
-    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    rows = rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).withColumn("side", side)
-    return pairs_of(rows, ["v", "low", "high"], percent)
+def crowded_pairs(crowded: DataFrame, sets: DataFrame, block: int, percent: int, k: int = K) -> DataFrame:
+    """Pairs of different roots in crowded lists whose sketches overlap enough.
+
+    A list's members are cut into blocks, and every two blocks meet in a cell of
+    their own, where one matrix product counts the common values of all their
+    sketches (31 bits of each value: equal values stay equal).
+    """
+    short = F.transform(F.slice("hashes", 1, k), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    known = sets.select("node", short.alias("short"), needed(F.col("n"), k, percent).alias("c"))
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    rows = crowded.join(known, "node").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = rows.select("v", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "root", "c", "short")
+
+    def meet(cell: pa.Table) -> pa.Table:
+        node, n, root, c, own = (cell.column(x).to_numpy() for x in ("node", "n", "root", "c", "own"))
+        lists = cell.column("short").combine_chunks()
+        _, value, held = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy()))
+        again = held[value] > 1
+        _, column = np.unique(value[again], return_inverse=True)
+        matrix = np.zeros((len(node), int(column.max(initial=-1)) + 1), dtype=np.float32)
+        matrix[row[again], column] = 1
+        low, high = cell.column("low")[0].as_py(), cell.column("high")[0].as_py()
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        common = matrix[left] @ matrix[right].T
+        a, b = left[:, None], right[None, :]
+        # two values of one sketch may share their 31 bits: two fewer are asked for
+        ok = (common >= np.maximum(c[a], c[b]) - 2) & (root[a] != root[b]) & (np.minimum(n[a], n[b]) * 100 >= percent * np.maximum(n[a], n[b]))
+        if low == high:
+            ok &= node[a] < node[b]
+        i, j = np.nonzero(ok)
+        x, y = node[left[i]], node[right[j]]
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+    return cells.groupBy("v", "low", "high").applyInArrow(meet, "a long, b long")
+
+
+def hubs(found: DataFrame) -> DataFrame:
+    """(node, root) for every linked node: the most linked node next to it (itself included), and that one's own hub.
+
+    Equal roots lie in one component; it takes a few aggregates, and no loop, to see that a large group is one.
+    """
+    both = found.select(F.col("a").alias("node"), F.col("b").alias("next")).unionByName(found.select(F.col("b").alias("node"), F.col("a").alias("next")))
+    degree = both.groupBy("node").agg(F.count("*").alias("degree"))
+    reach = both.join(degree.withColumnRenamed("node", "next"), "next").select("node", F.struct("degree", "next").alias("hub"))
+    own = degree.select("node", F.struct("degree", F.col("node").alias("next")).alias("hub"))
+    hub = reach.unionByName(own).groupBy("node").agg(F.max("hub").alias("hub")).select("node", F.col("hub.next").alias("hub"))
+    hub = materialise(found.sparkSession, hub, "minhash_hubs")
+    return hub.join(hub.select(F.col("node").alias("hub"), F.col("hub").alias("root")), "hub").select("node", "root")
 
 
-def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 80, k: int = K, limit: int = LIST_LIMIT, growth: int = 16) -> DataFrame:
+def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = 80, k: int = K, limit: int = LIST_LIMIT, growth: int = 16, block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) whose transitive closure is that of all linking pairs of distinct sets.
 
     ``classes`` holds node, n and sketch; ``sets_of`` adds sketch and ``hashes`` to a table of nodes.
@@ -210,17 +252,17 @@ def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
             sets = materialise(spark, sets_of(lists.select("node").distinct()), "minhash_sets")
         stars = materialise(spark, verified(star_pairs(lists, percent), sets, k, percent), "minhash_links")
         found = stars if found is None else found.unionByName(stars)
-        roots = materialise(spark, connected_components(found, "a", "b"), "minhash_roots")
+        roots = materialise(spark, hubs(found), "minhash_roots")
         placed = lists.join(roots, "node", "left").select("v", "node", "n", F.coalesce("root", "node").alias("root"))
         placed = materialise(spark, placed, "minhash_placed")
         open_lists = placed.groupBy("v").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
         open_lists = materialise(spark, open_lists.select("v", "size"), "minhash_open")
-        members = placed.join(open_lists, "v").withColumn("side", F.lit(0))
+        members = placed.join(open_lists, "v")
         crowded = materialise(spark, members.where(F.col("size") > limit), "minhash_crowded")
-        pairs = pairs_of(members.where(F.col("size") <= limit), ["v"], percent)
+        pairs = short_pairs(members.where(F.col("size") <= limit), percent)
         any_left = not crowded.isEmpty()
         if any_left and last:
-            pairs = pairs.unionByName(in_blocks(crowded, limit, percent))
+            pairs = pairs.unionByName(crowded_pairs(crowded, sets, block, percent))
         found = found.unionByName(materialise(spark, verified(pairs.distinct(), sets, k, percent), "minhash_links"))
         if last or not any_left:
             return found

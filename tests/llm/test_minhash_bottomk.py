@@ -71,10 +71,8 @@ def answer(spark, rows, **kw):
     return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in M.cluster(df, **kw).collect()), key=repr)
 
 
-@pytest.mark.parametrize(("k", "limit"), [(64, 64), (16, 3)])
-def test_matches_brute_force(spark, k, limit, monkeypatch):
-    if k == 16:  # so short a sketch needs the bound loosened for certainty
-        monkeypatch.setattr(M, "needed_overlap", lambda k, percent, miss=0: max(1, k // 8))
+@pytest.mark.parametrize(("k", "limit"), [(64, 64), (64, 3)])
+def test_matches_brute_force(spark, k, limit):
     rows = corpus(k + limit, 40, hot=40)
     assert answer(spark, rows, k=k, limit=limit) == sorted(brute(rows), key=repr)
 
@@ -110,12 +108,16 @@ def test_candidates_of_near_copies_grow_with_the_group(spark):
     assert made[1][0] < 4 * made[0][0] and made[1][1] < 4 * made[0][1]  # three times the group
 
 
-def test_blocks_give_every_pair_once(spark):
-    rows = [(7, i, 10, i % 5, 50) for i in range(50)]
-    crowded = spark.createDataFrame(rows, "v long, node long, n long, root long, size long")
-    got = [(r["a"], r["b"]) for r in M.in_blocks(crowded, 8, 80).collect()]
-    want = {(i, j) for i in range(50) for j in range(i + 1, 50) if i % 5 != j % 5}
-    assert len(got) == len(want) and set(got) == want
+def test_crowded_lists_in_blocks(spark):
+    rng = random.Random(8)
+    hashes = {i: sorted(rng.sample(range(2**40), 90)) for i in range(6)}
+    sets = [(i, 90, sorted(hashes[i % 6][: 90 - i // 30] + rng.sample(range(2**40), i // 30))) for i in range(60)]
+    crowded = spark.createDataFrame([(7, i, 90, i % 4, 60) for i in range(60)], "v long, node long, n long, root long, size long")
+    frame = spark.createDataFrame(sets, "node long, n long, hashes array<bigint>")
+    for block in (8, 100):
+        got = [(r["a"], r["b"]) for r in M.crowded_pairs(crowded, frame, block, 80).collect()]
+        want = {(i, j) for i in range(60) for j in range(i + 1, 60) if i % 4 != j % 4 and i % 6 == j % 6}
+        assert len(got) == len(want) and set(got) == want
 
 
 def test_bound_and_hashes():
