@@ -11,11 +11,14 @@ dynamic programme over estimated candidate counts. Candidates meet in a bucket
 Only distinct fingerprints are compared, so copies never form pairs. A bucket
 of more than ``bucket_limit`` fingerprints is not paired up: its members meet
 again under every value within ``ceil(max_distance / 2)`` bits of their own,
-where a group holds at most one ball of fingerprints, whatever the data.
+where a group holds at most one ball of fingerprints, whatever the data, and each
+links to the smallest of its ball: at most 64 links a member, however large the group.
 
 Null and blank texts have fingerprint zero and link like any other. A null id
 is never a component's id unless all its ids are null. Repeated rows are
-separate documents with equal fingerprints.
+separate documents with equal fingerprints. A whole text of any length is hashed by
+one task. Input columns other than id and text are ignored by ``cluster`` and kept by
+``near_dedup``, whatever their names.
 """
 
 from __future__ import annotations
@@ -198,34 +201,40 @@ def close_pairs(members: Column, max_distance: int, both: bool) -> Column:
     return F.flatten(F.transform(members, partners))
 
 
+def ball_links(fps: DataFrame, max_distance: int) -> DataFrame:
+    """Links of fingerprints that lie within ``ceil(max_distance / 2)`` bits of a common value.
+
+    For an even distance all members of such a ball link with each other, so each
+    links to the ball's smallest only; for an odd one its pairs are verified.
+    """
+    ball = F.array(*[F.lit(signed(p)) for p in bit_patterns((1 << BITS) - 1, (max_distance + 1) // 2)])
+    near = fps.select("fp", F.explode(F.transform(ball, lambda p: F.col("fp").bitwiseXOR(p))).alias("near")).groupBy("near")
+    if max_distance % 2 == 0:
+        members = near.agg(F.array_sort(F.collect_list("fp")).alias("m")).where(F.size("m") > 1)
+        return members.select(F.col("m")[0].alias("a"), F.explode(F.slice("m", F.lit(2), F.size("m") - 1)).alias("b"))
+    members = near.agg(F.collect_list(F.struct("fp", F.lit(True).alias("center"))).alias("m")).where(F.size("m") > 1)
+    return members.select(F.explode(close_pairs(F.col("m"), max_distance, both=False)).alias("p")).select("p.a", "p.b")
+
+
 def links(fps: DataFrame, total: int, max_distance: int = 2, bucket_limit: int = 32, sample_size: int = 16_384) -> DataFrame:
     """Links (a, b) whose transitive closure is that of all pairs of distinct fingerprints within ``max_distance``."""
     spark = fps.sparkSession
     plan = partition_plan(fps, total, max_distance, sample_size)
     probes = [probe_buckets(part, mask, threshold) for part, (mask, threshold) in enumerate(plan)]
     probed = fps.select("fp", F.explode(F.concat(*probes)).alias("p")).select("fp", "p.part", "p.value", "p.center")
-    sizes = probed.groupBy("part", "value").agg(F.count("*").alias("size")).where("size > 1")
-    sized = materialise(spark, probed.join(sizes, ["part", "value"]), "simhash_buckets")
+    hot = probed.groupBy("part", "value").agg(F.count("*").alias("size")).where(F.col("size") > bucket_limit)
+    hot = materialise(spark, hot.select("part", "value", F.lit(True).alias("hot")), "simhash_hot")
+    told = probed.join(hot, ["part", "value"], "left")
     small = (
-        sized.where(F.col("size") <= bucket_limit)
+        told.where(F.col("hot").isNull())
         .groupBy("part", "value")
         .agg(F.collect_list(F.struct("fp", "center")).alias("m"))
-        .select(F.explode(close_pairs(F.col("m"), max_distance, both=True)).alias("p"))
-        .select("p.a", "p.b")
-    )
-    ball = F.array(*[F.lit(signed(p)) for p in bit_patterns((1 << BITS) - 1, (max_distance + 1) // 2)])
-    large = (
-        sized.where(F.col("size") > bucket_limit)
-        .select("fp")
-        .distinct()
-        .select("fp", F.explode(F.transform(ball, lambda p: F.col("fp").bitwiseXOR(p))).alias("near"))
-        .groupBy("near")
-        .agg(F.collect_list(F.struct("fp", F.lit(True).alias("center"))).alias("m"))
         .where(F.size("m") > 1)
-        .select(F.explode(close_pairs(F.col("m"), max_distance, both=False)).alias("p"))
+        .select(F.explode(close_pairs(F.col("m"), max_distance, both=True)).alias("p"))
         .select("p.a", "p.b")
     )
-    return small.unionByName(large).distinct()
+    crowded = materialise(spark, told.where("hot").select("fp").distinct(), "simhash_crowded")
+    return small.unionByName(ball_links(crowded, max_distance)).distinct()
 
 
 def classes(fps: DataFrame, id_col: str, max_distance: int, bucket_limit: int) -> DataFrame:
@@ -246,7 +255,9 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     keyed = df.select(F.col(id_col), F.col(text_col), row_key(id_col, text_col).alias("row_key"))
     rows = materialise(spark, fingerprints(keyed, text_col, "fp", shingle_words), "simhash_rows")
     fps = materialise(spark, rows.groupBy("fp").agg(F.min(id_col).alias(id_col)), "simhash_distinct")
-    return rows.join(classes(fps, id_col, max_distance, bucket_limit), "fp")
+    # written first: a join of two plain exchanges is one that adaptive execution can split at a hot fingerprint
+    found = materialise(spark, classes(fps, id_col, max_distance, bucket_limit), "simhash_classes")
+    return rows.join(found, "fp")
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -24,7 +24,9 @@ and is all that is exchanged of texts without repeats.
   by (gram, distance, hash), one row per distinct window of a group.
 
 Null texts are empty. Texts shorter than ``length`` lose nothing. Rows that
-repeat id and text are separate texts, so they are each other's repeats.
+repeat id and text are separate texts, so they are each other's repeats; their windows
+are gathered once, however many they are. Input columns of any names pass through, but
+for those named like a result (``n_bytes``, ``spans``, ``kept``), which are replaced.
 """
 
 from __future__ import annotations
@@ -392,7 +394,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         back = {f"__{c}": c for c in df.columns if c.lower() in ("a", "b")}
         names = {v: k for k, v in back.items()}
         return remove_repeats(renamed, names.get(id_col, id_col), names.get(text_col, text_col), length, group).withColumnsRenamed(back)
-    windows = repeated(keyed, text_col, length, group).groupBy("a", "b").agg(F.collect_list(F.struct("p", "n")).alias("__w"))
+    windows = repeated(keyed, text_col, length, group).distinct().groupBy("a", "b").agg(F.collect_list(F.struct("p", "n")).alias("__w"))
     joined = keyed.join(windows, ["a", "b"], "left").drop("a", "b")
 
     def finish(batch: pa.RecordBatch) -> list[pa.Array]:

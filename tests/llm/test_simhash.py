@@ -151,3 +151,27 @@ def test_components_of_long_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert {n: got[n] for n in range(61)} == dict.fromkeys(range(61), 0)
     assert got[1049] == 1000 and got[2001] == 2000 and len(got) == 61 + 50 + 2
+
+
+def test_links_of_near_copies_are_bounded_per_member(spark):
+    made = []
+    for n in (500, 1000, 2000):
+        rng = random.Random(3)
+        group = set()
+        while len(group) < n:  # values within two bits of one another, and strangers
+            group.add(sum(1 << b for b in rng.sample(range(64), rng.randint(0, 2))))
+        others = {rng.getrandbits(64) for _ in range(300)}
+        fps = spark.createDataFrame([(S.signed(v),) for v in group | others], "fp long")
+        found = S.links(fps, fps.count(), 2, bucket_limit=8)
+        made.append(found.count())
+        roots = {r["node"]: r["root"] for r in connected_components(found, "a", "b").collect()}
+        assert len({roots[S.signed(v)] for v in group}) == 1
+    assert all(m <= 64 * n for m, n in zip(made, (500, 1000, 2000), strict=True))  # a ball around each neighbour value, one link in each
+
+
+def test_very_long_text_and_hot_fingerprint(spark):
+    long = " ".join(f"w{i % 4999}" for i in range(200_000))
+    rows = [(i, "same words in every copy") for i in range(3000)] + [(5000, long), (5001, long.upper())]
+    got = {r["doc_id"]: r for r in S.cluster(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["component_id"] == 0 for i in range(3000))
+    assert got[5001]["component_id"] == 5000 and got[5000]["fp"] & (2**64 - 1) == brute_fingerprint(long)

@@ -109,3 +109,12 @@ def test_repeated_rows_are_each_others_repeats(spark):
     long = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(200))
     rows = spark.createDataFrame([(1, long), (1, long), (None, "short")], "doc_id long, text string")
     assert sorted(len(r["kept"]) for r in D.remove_repeats(rows).collect()) == [0, 0, 5]
+
+
+def test_many_equal_rows_stay_linear(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(1500))
+    rows = [(1, text)] * 5000 + [(2, text[:700] + "Z" * 50), (3, "y" * 70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_bytes"], len(r["kept"])) for r in D.remove_repeats(df, length=LENGTH).collect()}
+    assert got == {(1, 1500, 0), (2, 750, 50), (3, 70, 70)}
