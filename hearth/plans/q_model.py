@@ -11,7 +11,7 @@ from hearth.operators import scoring as SC
 from hearth.plans import sqltext as S
 from hearth.plans.registry import register
 from hearth.plans.views import housing
-from hearth.session import scratch_path
+from hearth.session import materialise, scratch_path
 from hearth.sources.fixtures import districts
 
 T = config.TARGET
@@ -63,6 +63,20 @@ def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("district_id", F.when(R.split_flag(), F.lit("test")).otherwise(F.lit("train")).alias("split"))
 
 
+@register(
+    "train_test_split_exact",
+    S.on_housing(
+        "SELECT district_id, CASE WHEN r <= (n + 4) // 5 THEN 'test' ELSE 'train' END AS split FROM (SELECT district_id, COUNT(*) OVER () AS n, "
+        "row_number() OVER (ORDER BY md5(CAST(district_id AS VARCHAR) || ':42'), district_id) AS r FROM prepared)",
+        PREPARED_CTES,
+    ),
+)
+def q_train_test_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split whose test part has exactly a fifth of the rows, rounded up."""
+    train, test = R.exact_split(materialise(spark, prepared(spark, sf_dir).select("district_id"), "split-keys"))
+    return test.select("district_id", F.lit("test").alias("split")).unionByName(train.select("district_id", F.lit("train").alias("split")))
+
+
 _ST = ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in FEATS)
 
 
@@ -160,7 +174,33 @@ def q_residual_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.residual_grid(simple_predictions(spark, sf_dir), 50)
 
 
-# --- Spark ML pipeline (no SQL form: the multi-feature fit solves normal equations) ---
+# --- Spark ML pipeline: SQL solves the same normal equations by Gauss-Jordan steps ---
+
+
+def normal_equations_ctes(source: str = "train") -> str:
+    """CTEs that solve for the standardised coefficients: ``beta`` holds the list b, ``lin`` also means, deviations and sizes."""
+    p = len(FEATS)
+    z = ", ".join(f"(t.{c} - m_{c}) / COALESCE(NULLIF(s_{c}, 0), 1)" for c in FEATS)
+    gram = ", ".join("[" + ", ".join([f"AVG(x[{i}] * x[{j}])" for j in range(1, p + 1)] + [f"AVG(x[{i}] * y)"]) + "]" for i in range(1, p + 1))
+    ctes = [
+        f"mst AS (SELECT {_ST}, AVG({T}) AS my, COUNT(*) AS n FROM {source})",
+        f"mz AS (SELECT [{z}] AS x, {T} - my AS y FROM {source} t, mst)",
+        f"g0 AS (SELECT [{gram}] AS g FROM mz)",
+    ]
+    for k in range(1, p + 1):
+        ctes.append(
+            f"g{k} AS (SELECT list_transform(range(1, {p + 1}), lambda i: list_transform(range(1, {p + 2}), lambda j: "
+            f"CASE WHEN i = {k} THEN g[{k}][j] / g[{k}][{k}] ELSE g[i][j] - g[i][{k}] * g[{k}][j] / g[{k}][{k}] END)) AS g FROM g{k - 1})"
+        )
+    ctes.append(f"beta AS (SELECT list_transform(g, lambda r: r[{p + 1}]) AS b FROM g{p})")
+    return ",\n".join(ctes)
+
+
+def linear_sql(alias: str = "t") -> str:
+    return "my + " + " + ".join(f"b[{i}] * ({alias}.{c} - m_{c}) / COALESCE(NULLIF(s_{c}, 0), 1)" for i, c in enumerate(FEATS, 1))
+
+
+MODEL_CTES = PREPARED_CTES + ",\n" + normal_equations_ctes()
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
@@ -169,7 +209,17 @@ def _fitted(spark: SparkSession, sf_dir: str):
     return model, train, test
 
 
-@register("ols_fit")
+@register(
+    "ols_fit",
+    S.on_housing(
+        f"""SELECT CAST(ANY_VALUE(n) AS BIGINT) AS n_train, ROUND(ANY_VALUE(r2), 6) AS r2_train, ROUND(ANY_VALUE(a), 1) AS intercept,
+       ROUND(SQRT(AVG(e * e)), 3) AS rmse_test, ROUND(AVG(ABS(e)), 3) AS mae_test, ROUND(1 - AVG(e * e) / VAR_POP(y), 6) AS r2_test
+FROM (SELECT t.{T} AS y, t.{T} - ({linear_sql()}) AS e FROM test t, mst, beta),
+     (SELECT 1 - AVG(e * e) / VAR_POP(y) AS r2 FROM (SELECT t.{T} AS y, t.{T} - ({linear_sql()}) AS e FROM train t, mst, beta)),
+     (SELECT n, my AS a FROM mst)""",
+        MODEL_CTES,
+    ),
+)
 def q_ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row: training size and R², intercept, and test metrics of the 11-feature fit."""
     model, train, test = _fitted(spark, sf_dir)
@@ -177,35 +227,63 @@ def q_ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = R.evaluate_metrics(R.predictions(model, test))
     return metrics.select(
         F.lit(int(lr.summary.numInstances)).cast("bigint").alias("n_train"),
-        F.lit(float(lr.summary.r2)).alias("r2_train"),
-        F.lit(float(lr.intercept)).alias("intercept"),
-        F.col("rmse").alias("rmse_test"),
-        F.col("mae").alias("mae_test"),
-        F.col("r2").alias("r2_test"),
+        F.round(F.lit(float(lr.summary.r2)), 6).alias("r2_train"),
+        F.round(F.lit(float(lr.intercept)), 1).alias("intercept"),
+        F.round("rmse", 3).alias("rmse_test"),
+        F.round("mae", 3).alias("mae_test"),
+        F.round("r2", 6).alias("r2_test"),
     )
 
 
-@register("feature_importance")
+@register(
+    "feature_importance",
+    S.on_housing(
+        f"SELECT feature, ROUND(c, 2) AS coefficient, ROUND(ABS(c), 2) AS abs_coefficient FROM (SELECT unnest({FEATS}) AS feature, unnest(b) AS c FROM beta)",
+        MODEL_CTES,
+    ),
+)
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, train, _ = _fitted(spark, sf_dir)
-    return R.feature_importance(model, FEATS, int(model.stages[-1].summary.numInstances))
+    return _round(R.feature_importance(model, FEATS, int(model.stages[-1].summary.numInstances)), ["coefficient", "abs_coefficient"], 2)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", S.on_housing(f"SELECT t.district_id, t.{T}, ROUND({linear_sql()}, 1) AS prediction FROM test t, mst, beta", MODEL_CTES))
 def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save (Spark ML format + metrics JSON), load, and score the test rows."""
     model, _, test = _fitted(spark, sf_dir)
     m = R.evaluate_metrics(R.predictions(model, test)).first().asDict()
     path = R.save_model(model, FEATS, {k: m[k] for k in ("rmse", "r2", "mae")}, scratch_path(spark, "models"))
     loaded, feats, _ = R.load_model(path)
-    return R.predictions(loaded, test.select("district_id", T, *feats))
+    return _round(R.predictions(loaded, test.select("district_id", T, *feats)), ["prediction"], 1)
+
+
+_M = config.INPUT_RULE_MESSAGES
+
+
+def violation_sql() -> str:
+    missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in config.BASE_FEATURES) + ")"
+    any_null = " OR ".join(f"{c} IS NULL" for c in config.BASE_FEATURES)
+    rules = [f"CASE WHEN {any_null} THEN 'Missing required features: ' || {missing} END"]
+    rules.append(f"CASE WHEN longitude > 0 THEN '{_M[0]}' END")
+    rules.append(f"CASE WHEN NOT (latitude BETWEEN 32 AND 42) THEN '{_M[1]}' END")
+    for c, msg in zip(("total_rooms", "total_bedrooms", "population", "households"), _M[2:6]):
+        rules.append(f"CASE WHEN {c} <= 0 THEN '{msg}' END")
+    rules.append(f"CASE WHEN NOT (housing_median_age BETWEEN 0 AND 100) THEN '{_M[6]}' END")
+    rules.append(f"CASE WHEN median_income <= 0 THEN '{_M[7]}' END")
+    return "COALESCE(" + ", ".join(rules) + ")"
+
 
+def scored_sql() -> str:
+    """Every district scored by the 11-feature fit, with the input rule it breaks."""
+    complete = " AND ".join(f"t.{c} IS NOT NULL" for c in config.BASE_FEATURES)
+    return S.on_housing(f"SELECT t.district_id, CASE WHEN {complete} THEN ROUND({linear_sql()}, 1) END AS prediction, {violation_sql()} AS violation FROM housing t, mst, beta", MODEL_CTES)
 
-@register("score_batch_all_features")
+
+@register("score_batch_all_features", scored_sql())
 def q_score_batch_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 11-feature pipeline applied to every district's base inputs, with the broken input rules."""
     model, _, _ = _fitted(spark, sf_dir)
-    return SC.score_batch(model, districts(spark, sf_dir)).select("district_id", "prediction", "violation")
+    return _round(SC.score_batch(model, districts(spark, sf_dir)).select("district_id", "prediction", "violation"), ["prediction"], 1)
 
 
 # --- the same pipeline with one feature, whose fit SQL can state ------------------------
@@ -266,22 +344,6 @@ def q_drop_null_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- scoring with SQL forms ------------------------------------------------------------
 
-_M = config.INPUT_RULE_MESSAGES
-
-
-def violation_sql() -> str:
-    missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in config.BASE_FEATURES) + ")"
-    any_null = " OR ".join(f"{c} IS NULL" for c in config.BASE_FEATURES)
-    rules = [f"CASE WHEN {any_null} THEN 'Missing required features: ' || {missing} END"]
-    rules.append(f"CASE WHEN longitude > 0 THEN '{_M[0]}' END")
-    rules.append(f"CASE WHEN NOT (latitude BETWEEN 32 AND 42) THEN '{_M[1]}' END")
-    for c, msg in zip(("total_rooms", "total_bedrooms", "population", "households"), _M[2:6]):
-        rules.append(f"CASE WHEN {c} <= 0 THEN '{msg}' END")
-    rules.append(f"CASE WHEN NOT (housing_median_age BETWEEN 0 AND 100) THEN '{_M[6]}' END")
-    rules.append(f"CASE WHEN median_income <= 0 THEN '{_M[7]}' END")
-    return "COALESCE(" + ", ".join(rules) + ")"
-
-
 @register("input_violations", S.on_districts(f"SELECT district_id, {violation_sql()} AS violation FROM districts"))
 def q_input_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SC.input_violations(districts(spark, sf_dir)).select("district_id", "violation")

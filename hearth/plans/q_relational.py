@@ -11,6 +11,7 @@ from hearth.plans import sqltext as S
 from hearth.plans.registry import r6, register
 from hearth.plans.views import housing, summary
 from hearth.session import scratch_path
+from hearth.sources.contracts import Contract, publish, violating_rows
 from hearth.sources import sinks
 from hearth.sources.fixtures import districts
 from hearth.sources.tables import ORDERS_SCHEMA, scan_table, table_path
@@ -235,3 +236,57 @@ def q_summary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.create_if_absent(spark, "contracted_summary", rows.schema)
     sinks.replace_table(spark, rows, "contracted_summary")
     return sinks.contract_violations(spark.table("contracted_summary"), not_null=["income_category"], unique=["income_category"])
+
+
+# --- enforced contracts and committed changes ------------------------------------------
+
+DISTRICT_CONTRACT = Contract(not_null=["total_bedrooms", "median_income"], unique=[["district_id"], ["longitude", "latitude"]])
+
+
+@register(
+    "contract_violating_rows",
+    S.on_districts(
+        """SELECT district_id, array_to_string(list_filter([CASE WHEN total_bedrooms IS NULL THEN 'total_bedrooms is null' END, CASE WHEN median_income IS NULL THEN 'median_income is null' END,
+       CASE WHEN nd > 1 THEN 'district_id is not unique' END, CASE WHEN nl > 1 THEN 'longitude, latitude is not unique' END], lambda x: x IS NOT NULL), '; ') AS violations
+FROM (SELECT *, COUNT(*) OVER (PARTITION BY district_id) AS nd, CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN COUNT(*) OVER (PARTITION BY longitude, latitude) END AS nl FROM districts)
+WHERE total_bedrooms IS NULL OR median_income IS NULL OR nd > 1 OR nl > 1"""
+    ),
+)
+def q_contract_violating_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Districts that break the contract (inputs present, one district per place), with the broken rules."""
+    found = violating_rows(districts(spark, sf_dir), DISTRICT_CONTRACT)
+    return found.select("district_id", F.array_join("violations", "; ").alias("violations"))
+
+
+@register("publish_quarantine", S.on_districts("SELECT 'published' AS part, COUNT(*) AS \"rows\" FROM districts WHERE total_bedrooms IS NOT NULL UNION ALL SELECT 'rejected', COUNT(*) FROM districts WHERE total_bedrooms IS NULL"))
+def q_publish_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Districts are published under a contract; those without bedrooms are set aside."""
+    publish(spark, districts(spark, sf_dir), "published_districts", Contract(not_null=["total_bedrooms"], unique=[["district_id"]]), "quarantine")
+    parts = [("published", "published_districts"), ("rejected", "published_districts_rejected")]
+    counted = [spark.table(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(p).alias("part"), "rows") for p, t in parts]
+    return counted[0].unionByName(counted[1])
+
+
+@register(
+    "update_table",
+    S.on_housing(
+        "SELECT district_id, " + S.RAW + ", rooms_per_household, bedrooms_per_room, population_per_household, "
+        "CASE WHEN households = 0 THEN 'unknown' ELSE income_category END AS income_category, age_category FROM housing"
+    ),
+)
+def q_update_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change of ``update_rows`` committed to a stored table, which is read back."""
+    sinks.replace_table(spark, housing(spark, sf_dir), "housing_updated")
+    h = spark.table("housing_updated")
+    changes = h.filter(F.col("households") == 0).select("district_id", F.lit("unknown").alias("new_value"))
+    sinks.update_table(spark, "housing_updated", changes, "income_category")
+    return spark.table("housing_updated")
+
+
+@register("delete_from_table", S.on_housing("SELECT * FROM housing WHERE district_id NOT IN (SELECT district_id FROM housing WHERE total_rooms = 0)"))
+def q_delete_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The removal of ``delete_rows`` committed to a stored table, which is read back."""
+    sinks.replace_table(spark, housing(spark, sf_dir), "housing_deleted")
+    h = spark.table("housing_deleted")
+    sinks.delete_from_table(spark, "housing_deleted", h.filter(F.col("total_rooms") == 0).select("district_id"))
+    return spark.table("housing_deleted")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearth import config
 from hearth.plans import sqltext as S
-from hearth.plans.q_model import violation_sql
+from hearth.plans.q_model import scored_sql, violation_sql
 from hearth.plans.q_quality import DISTRICT_COLS, RAW8, iqr_chain
 from hearth.plans.registry import register
 from hearth.plans.workflow import processed_districts
@@ -52,11 +52,11 @@ def q_stream_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
-@register("stream_score")
+@register("stream_score", scored_sql())
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 11-feature pipeline fitted on the train districts scores the
     districts as they land (one file per micro-batch); ratio inputs use the
-    medians fitted on the housing table; invalid rows keep their violation."""
+    medians fitted on the housing table; rows that break an input rule say so."""
     from pyspark.sql import functions as F
 
     from hearth.operators import regression as R
@@ -78,4 +78,4 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     d.repartition(4, F.col("district_id")).write.parquet(landing)
     sink, ckpt = scratch_path(spark, "stream", "sink"), scratch_path(spark, "stream", "checkpoint")
     run_available(score_stream(district_stream(spark, landing, max_files_per_trigger=1), model, fitted), sink, ckpt)
-    return spark.read.parquet(sink).select("district_id", "prediction", "violation")
+    return spark.read.parquet(sink).select("district_id", F.round("prediction", 1).alias("prediction"), "violation")

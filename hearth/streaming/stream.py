@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hearth import config
+from hearth.config import SCALE, Scale
 from hearth.operators import features as FE
 from hearth.operators import relational as rel
 from hearth.operators import scoring as SC
+from hearth.session import materialise
 
 DISTRICT_SCHEMA = T.StructType(
     [T.StructField(config.KEY, T.LongType())] + [T.StructField(c, T.DoubleType()) for c in config.RAW_COLUMNS]
@@ -39,17 +41,30 @@ def classify(df: DataFrame) -> DataFrame:
 def score_stream(df: DataFrame, model, fitted_medians: dict) -> DataFrame:
     """Score a stream of district rows with a fitted pipeline.
 
-    Rows failing an input rule keep their ``violation`` and get no
-    prediction (nothing is dropped); valid rows get derived inputs with the
-    *fitted* ratio medians (a stream has no batch median) and a prediction.
-    Stateless: every micro-batch is scored independently.
+    The rule of ``score_batch``: every row is scored, the broken input rule is only
+    reported, and a row that lacks a model input has no prediction. Derived inputs
+    use the *fitted* ratio medians. Stateless: every micro-batch is scored
+    independently.
     """
-    checked = SC.input_violations(df)
-    valid = checked.filter("violation IS NULL")
-    scored = model.transform(SC.scoring_inputs(valid, fill=fitted_medians))
-    keep = [c for c in scored.columns if c not in ("features_raw", "features_scaled")]
-    rejected = checked.filter("violation IS NOT NULL")
-    return scored.select(*keep).unionByName(rejected, allowMissingColumns=True)
+    return SC.score_rows(model, df, fill=fitted_medians)
+
+
+def score_micro_batches(df: DataFrame, model, sink_path: str, checkpoint_path: str, scale: Scale = SCALE) -> StreamingQuery:
+    """Score everything available now, each micro-batch with its *own* ratio medians, as ``score_batch`` does a table.
+
+    A batch is written to ``sink_path/batch=<id>``, replacing what an interrupted
+    attempt at the same batch left there, so a restart neither loses nor repeats rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = materialise(batch.sparkSession, batch, "micro-batch")  # medians and scores read it again
+        if kept.isEmpty():
+            return
+        SC.score_batch(model, kept, scale=scale).write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+
+    q = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
 
 
 def in_box(df: DataFrame, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
