@@ -50,7 +50,8 @@ from hearth.llm.components import connected_components
 
 K = 64
 LIST_LIMIT = 64
-BLOCK = 256
+BLOCK = 1024
+CELL_COLUMNS = 4096
 #: Odd multipliers of a shingle's words, in turn.
 TURNS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
@@ -187,12 +188,13 @@ def short_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("v").agg(F.collect_list(member).alias("m")).select(F.explode(cross_pairs(F.col("m"), percent)).alias("p")).select("p.a", "p.b")
 
 
-def crowded_pairs(crowded: DataFrame, sets: DataFrame, block: int, percent: int, k: int = K) -> DataFrame:
-    """Pairs of different roots in crowded lists whose sketches overlap enough.
+def crowded_pairs(crowded: DataFrame, sets: DataFrame, block: int, percent: int, k: int) -> DataFrame:
+    """Pairs of different roots in crowded lists whose sketches of k overlap enough.
 
     A list's members are cut into blocks, and every two blocks meet in a cell of
-    their own, where one matrix product counts the common values of all their
-    sketches (31 bits of each value: equal values stay equal).
+    their own, where matrix products over slices of the values count the common
+    values of all their sketches (31 bits of each value: equal values stay equal).
+    Sketches that hold their whole sets are asked for the similarity itself.
     """
     short = F.transform(F.slice("hashes", 1, k), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     known = sets.select("node", short.alias("short"), needed(F.col("n"), k, percent).alias("c"))
@@ -207,15 +209,23 @@ def crowded_pairs(crowded: DataFrame, sets: DataFrame, block: int, percent: int,
         _, value, held = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
         row = np.repeat(np.arange(len(node)), np.diff(lists.offsets.to_numpy()))
         again = held[value] > 1
-        _, column = np.unique(value[again], return_inverse=True)
-        matrix = np.zeros((len(node), int(column.max(initial=-1)) + 1), dtype=np.float32)
-        matrix[row[again], column] = 1
+        row, value = row[again], value[again]
+        order = np.argsort(value, kind="stable")
+        row, value = row[order], value[order]
+        _, column = np.unique(value, return_inverse=True)
         low, high = cell.column("low")[0].as_py(), cell.column("high")[0].as_py()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        common = matrix[left] @ matrix[right].T
+        common = np.zeros((len(left), len(right)), dtype=np.float32)
+        for at in range(0, int(column.max(initial=-1)) + 1, CELL_COLUMNS):
+            first, last = np.searchsorted(column, (at, at + CELL_COLUMNS))
+            matrix = np.zeros((len(node), CELL_COLUMNS), dtype=np.float32)
+            matrix[row[first:last], column[first:last] - at] = 1
+            common += matrix[left] @ matrix[right].T
         a, b = left[:, None], right[None, :]
-        # two values of one sketch may share their 31 bits: two fewer are asked for
-        ok = (common >= np.maximum(c[a], c[b]) - 2) & (root[a] != root[b]) & (np.minimum(n[a], n[b]) * 100 >= percent * np.maximum(n[a], n[b]))
+        common += 2  # two values of one sketch may share their 31 bits
+        whole = np.maximum(n[a], n[b]) <= k
+        enough = np.where(whole, 100 * common >= percent * (n[a] + n[b] - common), common >= np.maximum(c[a], c[b]))
+        ok = enough & (root[a] != root[b]) & (np.minimum(n[a], n[b]) * 100 >= percent * np.maximum(n[a], n[b]))
         if low == high:
             ok &= node[a] < node[b]
         i, j = np.nonzero(ok)
@@ -262,7 +272,7 @@ def links(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent
         pairs = short_pairs(members.where(F.col("size") <= limit), percent)
         any_left = not crowded.isEmpty()
         if any_left and last:
-            pairs = pairs.unionByName(crowded_pairs(crowded, sets, block, percent))
+            pairs = pairs.unionByName(crowded_pairs(crowded, sets, block, percent, k))
         found = found.unionByName(materialise(spark, verified(pairs.distinct(), sets, k, percent), "minhash_links"))
         if last or not any_left:
             return found

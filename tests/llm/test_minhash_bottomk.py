@@ -115,7 +115,7 @@ def test_crowded_lists_in_blocks(spark):
     crowded = spark.createDataFrame([(7, i, 90, i % 4, 60) for i in range(60)], "v long, node long, n long, root long, size long")
     frame = spark.createDataFrame(sets, "node long, n long, hashes array<bigint>")
     for block in (8, 100):
-        got = [(r["a"], r["b"]) for r in M.crowded_pairs(crowded, frame, block, 80).collect()]
+        got = [(r["a"], r["b"]) for r in M.crowded_pairs(crowded, frame, block, 80, 128).collect()]
         want = {(i, j) for i in range(60) for j in range(i + 1, 60) if i % 4 != j % 4 and i % 6 == j % 6}
         assert len(got) == len(want) and set(got) == want
 
