@@ -14,8 +14,9 @@ once to each block of a first-half centroid it visits, with a bit set of the
 second halves it wants. A hot cell is therefore many blocks, never one task.
 Each block returns a query's best k; these are merged per query.
 
-Vectors that are null, of another length than ``dim``, zero, or hold null or
-non-finite components take no part. Ties go to the smaller id. Queries and
+Vectors that are null, zero, or hold null or non-finite components take no part.
+The others' length is read from the table, and lengths that differ are an error;
+where ``dim`` is given, vectors of another length take no part. Ties go to the smaller id. Queries and
 entries with a null id take no part. Rows that repeat an id are separate
 entries; a query's own row is left out by id.
 """
@@ -107,12 +108,21 @@ class MultiIndex:
             yield out
 
 
-def usable(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
-    """(id, vec) of the rows that take part; vectors as arrays of doubles."""
+def usable(df: DataFrame, id_col: str, vec_col: str, dim: int | None) -> DataFrame:
+    """(id, vec) of the rows that take part; vectors as arrays of doubles, of any length without ``dim``."""
     vec = F.col("vec")
     finite = F.forall(vec, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    return rows.where(F.col("id").isNotNull() & (F.size("vec") == dim) & finite & F.exists(vec, lambda x: x != 0))
+    long_enough = F.size("vec") > 0 if dim is None else F.size("vec") == dim
+    return rows.where(F.col("id").isNotNull() & long_enough & finite & F.exists(vec, lambda x: x != 0))
+
+
+def width(rows: DataFrame) -> int:
+    """The one length of all vectors; 2 for an empty table."""
+    least, most = rows.agg(F.min(F.size("vec")), F.max(F.size("vec"))).first()
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} components: give dim to search those of one length")
+    return least or 2
 
 
 def train(rows: DataFrame, dim: int, centroids: int, sample_size: int) -> MultiIndex:
@@ -125,7 +135,7 @@ def train(rows: DataFrame, dim: int, centroids: int, sample_size: int) -> MultiI
 
 
 def search(
-    df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", dim: int = 64, centroids: int = 32, sample_size: int = 16_384, scan: float = 0.5,
+    df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", dim: int | None = None, centroids: int = 32, sample_size: int = 16_384, scan: float = 0.5,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest entries found for every row whose id meets ``is_query``.
 
@@ -135,6 +145,7 @@ def search(
         raise ValueError("at most 62 centroids: a query's second halves are one bit set")
     spark = df.sparkSession
     rows = materialise(spark, usable(df, id_col, vec_col, dim), "vectors")
+    dim = width(rows) if dim is None else dim
     index = train(rows, dim, centroids, sample_size)
     shared = spark.sparkContext.broadcast(index)
 

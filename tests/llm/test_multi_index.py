@@ -70,3 +70,16 @@ def test_recall_on_the_table(spark):
         s[q] = -2
         hits += len(got[ids[q]] & set(ids[np.lexsort((ids, -s))[:5]].tolist()))
     assert hits / (5 * len(got)) >= 0.9
+
+
+def test_width_comes_from_the_table(spark):
+    rng = np.random.default_rng(3)
+    for dim in (1, 3, 32):
+        data = [(i, [float(x) for x in rng.normal(size=dim)], 0) for i in range(200)] + [(300, None, 0), (305, [0.0] * 7, 0)]
+        got = M.search(spark.createDataFrame(data, SCHEMA), lambda i: i % 50 == 0, scan=1.0, centroids=4).collect()
+        near = lambda q: sorted((-float(M.cosine(np.array([data[q][1]]), np.array([v]))[0]), i) for i, v, _ in data[:200] if i != q)[:5]  # noqa: B023,E731
+        assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == [(q, k + 1, i) for q in (0, 50, 100, 150) for k, (_, i) in enumerate(near(q))]
+    mixed = spark.createDataFrame([(0, [1.0] * 8, 0), (1, [1.0] * 9, 0)], SCHEMA)
+    with pytest.raises(ValueError, match="8 to 9"):
+        M.search(mixed, lambda i: i % 50 == 0)
+    assert M.search(mixed.limit(0), lambda i: i % 50 == 0).count() == 0
