@@ -2,7 +2,8 @@
 
 Pages are grouped by the host of their URL. A line's site ratio is the number of
 the host's pages that contain it over all pages of the host; lines above
-``max_ratio`` that stand on at least ``min_pages`` pages are dropped.
+``max_ratio`` that stand on at least ``min_pages`` pages are dropped (a line on
+one page is no repetition).
 
 Lines are the visible text of the HTML, cut at block elements: script, style and
 comments go, other tags vanish, blanks are collapsed, empty lines are skipped.
@@ -40,7 +41,7 @@ def html_lines(html: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda s: F.trim(F.regexp_replace(s, " {2,}", " "))), lambda s: s != "")
 
 
-def drop_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_ratio: float = 0.3, min_pages: int = 3) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_ratio: float = 0.3, min_pages: int = 2) -> DataFrame:
     """One row per page: id, host, n_lines, n_dropped and the kept lines joined by newlines."""
     spark = pages.sparkSession
     host, html = host_of(F.col(url_col)), F.col(html_col)

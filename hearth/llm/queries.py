@@ -86,7 +86,7 @@ def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages without the lines that their sites repeat."""
-    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"), max_ratio=0.3, min_pages=3)
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"), max_ratio=0.3, min_pages=2)
 
 
 def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +202,7 @@ WITH p AS (
   SELECT k, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM l
 ), f AS (
   SELECT host, line FROM (SELECT host, line, count(DISTINCT k) AS n FROM e WHERE host IS NOT NULL GROUP BY host, line)
-  JOIN (SELECT host, count(*) AS pages FROM l GROUP BY host) USING (host) WHERE n >= 3 AND n > 0.3 * pages
+  JOIN (SELECT host, count(*) AS pages FROM l GROUP BY host) USING (host) WHERE n >= 2 AND n > 0.3 * pages
 ), kept AS (
   SELECT k, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM e WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.host = e.host AND f.line = e.line) GROUP BY k
 )
