@@ -106,15 +106,14 @@ class ItemAutomaton:
                     up = self.link[up]
             if len(tokens) < self.window:
                 ends.setdefault(at, set()).add((len(tokens), name))
-        for state in range(1, len(self.length)):
-            at, found = state, set()
-            while at > 0:
-                if self.length[at] >= self.window > self.length[self.link[at]]:
-                    self.windows[state] = tuple(sorted(holders.get(at, ())))
-                found |= ends.get(at, set())
-                at = self.link[at]
-            if found:
-                self.short[state] = sorted(found, reverse=True)
+        # a suffix link leads to a shorter state, so by length each state adds its own to what its link proves
+        for state in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+            up = self.link[state]
+            if self.length[state] >= self.window:
+                self.windows[state] = self.windows[up] if self.length[up] >= self.window else tuple(sorted(holders[state]))
+            own, above = ends.get(state), self.short.get(up, [])
+            if own or above:
+                self.short[state] = sorted({*own, *above}, reverse=True) if own else above
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Maximal hit spans (word numbers, end excluded) and the items that occur."""
@@ -227,12 +226,18 @@ def contaminated(n_hit: Column, n_words: Column, per: int = 20) -> Column:
     return (n_hit > 0) & (n_hit * per >= n_words)
 
 
-def remove_spans(df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, per: int = 20) -> DataFrame:
+def remove_spans(
+    df: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, per: int = 20, chars_col: str | None = None,
+) -> DataFrame:
     """``df`` without contaminated rows, and with the remaining hit spans cut out of the text.
 
-    A span is cut from the first byte of its first word to the last byte of its last word.
+    A span is cut from the first byte of its first word to the last byte of its last word;
+    spans are judged on the input, not on what a cut brings together. ``chars_col`` names a
+    column of text lengths that a cut text renews; rows without a span stay as they are,
+    and input columns named like a result of ``scan`` keep their values.
     """
-    scanned = scan(df, items, text_col, item_id, item_text, window)
+    aside = {c: f"__in_{k}" for k, c in enumerate(df.columns) if c.lower() in ("n_words", "spans", "items")}
+    scanned = scan(df.withColumnsRenamed(aside), items, text_col, item_id, item_text, window)
     kept = scanned.where(~contaminated(hit_words(), F.col("n_words"), per))
 
     def cut(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -241,7 +246,11 @@ def remove_spans(df: DataFrame, items: DataFrame, text_col: str = "text", item_i
         return [pa.array([t if not s else cut_words(t.encode(), [(x["start"], x["end"]) for x in s]).decode() for t, s in zip(texts, spans, strict=True)], pa.string())]
 
     cleaned = append_columns(kept, cut, [T.StructField("__clean", T.StringType())])
-    return cleaned.withColumn(text_col, F.col("__clean")).select(*df.columns)
+    if chars_col:
+        renewed = F.length("__clean").cast(df.schema[chars_col].dataType)
+        cleaned = cleaned.withColumn(chars_col, F.when(F.size("spans") > 0, renewed).otherwise(F.col(chars_col)))
+    cleaned = cleaned.withColumn(text_col, F.col("__clean"))
+    return cleaned.select(*[F.col(aside.get(c, c)).alias(c) for c in df.columns])
 
 
 def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -96,3 +96,23 @@ def test_remove_spans(spark):
 def test_contamination_rule(spark):
     row = spark.range(1).select(*[D.contaminated(F.lit(a), F.lit(b)).alias(f"{a}_{b}") for a, b in ((0, 0), (1, 20), (1, 21), (13, 100))]).first()
     assert list(row) == [False, True, False, True]
+
+
+def test_items_of_one_repeated_word_are_marked_in_linear_time():
+    import time
+
+    start = time.process_time()
+    built = D.ItemAutomaton.build([("long", b"la " * 100_000), ("short", b"la la la"), ("other", b"x la la")], 13)
+    assert time.process_time() - start < 20
+    spans, items = built.scan([b"y"] + [b"la"] * 40)
+    assert spans == [(1, 41)] and items == {"long", "short"}
+    assert built.scan([b"x", b"la", b"la", b"y"]) == ([(0, 3)], {"other"})
+
+
+def test_cut_texts_renew_their_length(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    clean = " ".join(f"c{i}" for i in range(1000))
+    docs = spark.createDataFrame([(1, f"{clean} {item} end", 5, "x"), (2, item, 5, "x"), (3, None, 5, "x"), (4, clean, 5, "x"), (5, "", 0, "x")], "doc_id long, text string, n_chars int, spans string")
+    items = spark.createDataFrame([("a", item), ("b", None)], "item_id string, text string")
+    got = {r["doc_id"]: (r["text"], r["n_chars"], r["spans"]) for r in D.remove_spans(docs, items, chars_col="n_chars").collect()}
+    assert got == {1: (f"{clean}  end", len(clean) + 5, "x"), 3: (None, 5, "x"), 4: (clean, 5, "x"), 5: ("", 0, "x")}
