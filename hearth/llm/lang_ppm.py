@@ -239,7 +239,7 @@ def identify(df: DataFrame, model: PpmModel, text_col: str = "text") -> DataFram
         per_byte = np.where(worded, least / np.maximum(np.diff(offs), 1), np.nan)
         return [pa.array(names), pa.array(np.where(worded, posterior, 0.0)), pa.array(per_byte, from_pandas=True)]
 
-    prepared = df.withColumn("__lower", F.lower(text_col)).withColumn("__letters", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    prepared = df.withColumn("__lower", F.lower(text_col)).withColumn("__letters", has_letter(text_col))
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())]
     return append_columns(prepared, score, fields, drop=("__lower", "__letters"))
 
@@ -249,6 +249,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4 == 2
 
 
-def accepted() -> Column:
-    """A document is kept if a language was found and its model codes the text in fewer than 8 bits a byte."""
-    return (F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") < RAW_BITS)
+def accepted(text_col: str = "text", judged_bytes: int = 64) -> Column:
+    """A document is kept if a language was found and its model codes the text in fewer than 8 bits a byte.
+
+    The escapes of a text's first bytes weigh too much in a short one: below ``judged_bytes`` bytes the language is enough.
+    """
+    return (F.col("lang_pred") != UNDETERMINED) & ((F.col("bits_per_byte") < RAW_BITS) | (F.octet_length(text_col) < judged_bytes))
+
+
+def has_letter(text_col: str = "text") -> Column:
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))

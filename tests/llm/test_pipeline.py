@@ -66,6 +66,41 @@ def test_contaminated_documents_go(stages, spark):
     assert ids(after) == sorted(keep) and len(keep) < before.count()
 
 
+def test_passages_are_cut_from_the_documents_that_stay(stages, spark):
+    _, before, after = stages[2]
+    found = decontaminate.scan(after, spark.read.parquet(f"{SMALL}/benchmark.parquet"))
+    was = {r["doc_id"]: r for r in decontaminate.scan(before, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
+    for r in found.collect():
+        old = was[r["doc_id"]]
+        assert r["spans"] == [] and r["n_words"] == old["n_words"] - sum(s["end"] - s["start"] for s in old["spans"])
+        assert old["spans"] or r["text"] == old["text"]
+        assert not old["spans"] or r["n_chars"] == len(r["text"])
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars int"
+
+
+def test_tables_that_are_empty_unlabelled_or_repeated(spark, tmp_path):
+    spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    words = [f"{w} {i}" for i, w in enumerate("apple river stone cloud window garden silver thunder".split())]
+    rows = [(i, f"{w} a short clean text of its own number {i * i}", None, "s", 40) for i, w in enumerate(words)]
+    tables = {"empty": [], "unlabelled": [*rows, (90, None, None, None, None), (91, "12 34", None, "s", 5), (92, "", None, "s", 0)], "repeated": rows * 3}
+    kept = {}
+    for name, data in tables.items():
+        spark.createDataFrame(data, COLUMNS).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        kept[name] = set(ids(P.run(spark, str(tmp_path))))
+    assert kept["empty"] == set()
+    assert kept["unlabelled"] <= set(range(8)) and len(kept["unlabelled"]) >= 6
+    assert kept["repeated"] <= set(range(8)) and len(kept["repeated"]) >= 6
+
+
+def test_short_clean_texts_stay(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    short = spark.createDataFrame([(10**9, "The quick brown fox", "en", "s", 19), (10**9 + 1, "Hello world!", None, "s", 12)], COLUMNS)
+    kept = set(ids(P.language_id(spark, docs.unionByName(short.select(*docs.columns)), SMALL)))
+    assert {10**9, 10**9 + 1} <= kept
+
+
 def test_mix_meets_the_targets(stages):
     from test_mixing import brute_targets
 
