@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hearth.llm import decontaminate, lang_ppm, mixing, sharding, simhash_gph
 from hearth.llm.common import materialise
@@ -22,8 +21,13 @@ SHARDS = 8
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: not undetermined, and coded below 8 bits a byte by its model."""
+    """Documents in a language: not undetermined, and coded below 8 bits a byte by its model unless very short.
+
+    Where no document has a language to learn from, every text with a letter stays.
+    """
     model = lang_ppm.train(docs.where(~lang_ppm.held_out()))
+    if not model.labels:
+        return docs.where(lang_ppm.has_letter())
     return lang_ppm.identify(docs, model).where(lang_ppm.accepted()).select(*docs.columns)
 
 
@@ -33,9 +37,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark, their texts as they are."""
-    found = decontaminate.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~decontaminate.contaminated(decontaminate.hit_words(), F.col("n_words"))).select(*docs.columns)
+    """Documents that are not contaminated by the benchmark, the passages that remain in them cut out."""
+    chars = "n_chars" if "n_chars" in docs.columns else None
+    return decontaminate.remove_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), chars_col=chars)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
