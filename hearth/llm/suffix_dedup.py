@@ -45,7 +45,7 @@ from hearth.llm.common import append_columns, materialise, row_key, text_bytes
 GRAM = 64
 GROUP = 2048
 #: Bytes handled at a time; positions in a piece must fit PLACE bits.
-PIECE = 1 << 21
+PIECE = 1 << 18
 PLACE = 22
 SORT_BYTES = 1 << 21
 
