@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from hearth import config
 from hearth.config import SCALE, Scale
 from hearth.functions.columns import normalise_nan, numeric_columns
-from hearth.operators.quantiles import medians, mode_values, quantile_map
+from hearth.operators import brackets
+from hearth.operators.quantiles import combine, medians, mode_values, pandas_q, quantile_map
 from hearth.session import materialise
 
 
@@ -171,20 +172,28 @@ def iqr_bounds_steps(
     the previous columns, keep [Q1 - t*IQR, Q3 + t*IQR] inclusive (NULL dropped).
 
     Returns the filtered (lazy) frame and the per-step bounds. The outlier
-    columns are materialised; each step costs one exact-quantile job on the filtered input.
+    columns are written once. Up to ``exact_direct_max`` rows, each step sorts
+    its column; beyond, it is one pass over them (more beyond tens of millions of rows) that finds its column's quartiles in their brackets and, of the
+    rows its bounds will keep, brackets the next column's (``brackets``).
     """
     cols = list(columns) if columns is not None else _default_outlier_columns(df, target, key)
+    qs = (pandas_q(0.25), pandas_q(0.75))
     # Bounds need only the outlier columns: that narrow projection is written
     # once to the shared folder for the sequential passes.
     narrow = materialise(df.sparkSession, df.select(*cols), "outlier-columns")
     n0 = narrow.count()  # every later step holds at most n0 rows
-    cur, keep, steps = narrow, F.lit(True), []
-    for c in cols:
-        q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
-        if (c, 0.25) not in q:  # no value left: the step removes every row
+    cur, keep, steps, ahead = narrow, F.lit(True), [], None
+    for i, c in enumerate(cols):
+        if n0 <= scale.exact_direct_max:
+            q = quantile_map(cur, [c], [0.25, 0.75], scale, max_rows=n0)
+            quartiles = [q[c, p] for p in (0.25, 0.75) if (c, p) in q]
+        else:
+            after = cols[i + 1] if i + 1 < len(cols) else None
+            quartiles, ahead = _bracketed_quartiles(cur, c, after, threshold, qs, ahead, scale)
+        if not quartiles:  # no value left: the step removes every row
             cond, lo, hi = F.lit(False), None, None
         else:
-            q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
+            q1, q3 = quartiles
             lo, hi = q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)
             cond = F.col(c).between(F.lit(lo), F.lit(hi))
         steps.append(Step(c, lo, hi, cond))
@@ -195,6 +204,16 @@ def iqr_bounds_steps(
     return df.filter(keep), steps
 
 
+def _bracketed_quartiles(cur: DataFrame, c: str, after: str | None, threshold: float, qs: tuple, around: tuple | None, scale: Scale):
+    """([q1, q3] of ``c`` or [], brackets of the quartiles of ``after`` or None) in one pass where ``around`` brackets c's."""
+    around = around or tuple(brackets.brackets(cur, {c: qs}).values())
+    more = brackets.following(c, around, after, threshold, qs) if after else None
+    state, guess = brackets.run_pass(cur, {(c, q): b for q, b in zip(qs, around, strict=True)}, scale, more, [after] if after else [])
+    found = brackets.finish(cur, state, scale)
+    ahead = tuple(brackets.Bracket(*g) for g in guess.values()) if guess and None not in guess.values() else None
+    return [combine(f.low, f.high, f.fraction) for f in (found[c, q] for q in qs if (c, q) in found)], ahead
+
+
 def iqr_single_pass(
     df: DataFrame,
     columns: Sequence[str] | None = None,

@@ -10,6 +10,7 @@ of a group in one task). So:
   combined first (partial/final count per group and value) and its sorted
   (value, count) pairs scanned once in one task - so a hot group of few
   distinct values (ages, counts) is exact in one pass whatever its size;
+* whole columns (no group) of more rows take sketch brackets instead, see ``brackets``;
 * groups with more distinct values find the order statistics they need by histogram
   refinement: per pass, the rows inside the current value interval of a
   target are bucketed (``refine_buckets`` equal-width buckets between the
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from hearth.config import SCALE, Scale
 from hearth.functions.columns import nan_to_null
+from hearth.operators import brackets
 from hearth.operators.joins import sized_broadcast
 from hearth.session import materialise, shared_dir
 
@@ -82,6 +84,10 @@ def exact_quantiles(
     shown = [F.col(i).alias(b) for b, i in zip(by, inner)] + [F.col("column"), F.col("prob"), _combine(kind).alias("value"), F.col("n")]
     if max_rows is not None and max_rows <= scale.exact_direct_max:
         return _direct(values, keys, probs).select(*shown)
+    if not by:
+        if max_rows is None and df.count() <= scale.exact_direct_max:
+            return _direct(values, keys, probs).select(*shown)
+        return _whole_columns(df, columns, probs, scale, kind)
     # Per group: rows, range and (approximate, ~2% error) distinct values; the
     # direct path is bounded by distinct values, kept under the bound with margin.
     distinct = F.approx_count_distinct("x", 0.02)
@@ -109,6 +115,26 @@ def exact_quantiles(
     return stats.select(*shown)
 
 
+def _whole_columns(df: DataFrame, columns: Sequence[str], probs: list, scale: Scale, kind: str) -> DataFrame:
+    """Quantiles of whole columns from sketch brackets: (column, prob, value, n), columns x probs rows.
+
+    The columns are written once; sketch and counts are passes over what was written."""
+    df = materialise(df.sparkSession, brackets.numbers(df, columns), "quantile-columns")
+    qs = {pandas_q(p): p for p in probs}
+    found = brackets.order_statistics(df, {c: list(qs) for c in columns}, scale)
+    rows = [(c, qs[q], combine(f.low, f.high, f.fraction, kind), f.n) for (c, q), f in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double, n bigint")
+
+
+def combine(a: float, b: float, t: float, kind: str = "linear") -> float:
+    """The quantile between two order statistics, in the floating-point steps of ``_combine``."""
+    if kind == "median":
+        return (a + b) / 2.0
+    if a == b:
+        return a
+    return a + (b - a) * t if t < 0.5 else b - (b - a) * (1.0 - t)
+
+
 def pandas_q(p: float) -> float:
     """q as pandas computes it: p·100 is handed to numpy's percentile, which
     divides by 100 again (same floating-point steps, so positions agree to
