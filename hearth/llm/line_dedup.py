@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from hearth.llm.common import materialise
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
-HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
-TAG = r"<[^>]*>"
+HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)"
+BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*+>"
+TAG = r"<[^>]*+>"
 
 
 def host_of(url: Column) -> Column:
@@ -37,8 +37,8 @@ def host_of(url: Column) -> Column:
 def html_lines(html: Column) -> Column:
     """Visible lines of a page, blanks collapsed, empty ones left out."""
     visible = F.translate(F.regexp_replace(html, HIDDEN, ""), "\t\r\n\f", "    ")
-    text = F.regexp_replace(F.regexp_replace(visible, BLOCK, "\n"), TAG, "")
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda s: F.trim(F.regexp_replace(s, " {2,}", " "))), lambda s: s != "")
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(visible, BLOCK, "\n"), TAG, ""), " {2,}", " ")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def drop_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_ratio: float = 0.3, min_pages: int = 2) -> DataFrame:
