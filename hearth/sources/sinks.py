@@ -166,7 +166,7 @@ def fetch_all(spark: SparkSession, name: str) -> DataFrame:
 def table_statistics(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:
     """(table, rows) for the given tables (default: all of the current database).
 
-    Each count is its own small job (a metadata-only count on parquet).
+    Each count is its own small job; on Parquet it reads no column, only the files' footers.
     """
     names = list(names) if names is not None else sorted(t.name for t in spark.catalog.listTables())
     rows = [(n, table_count(spark, n)) for n in names]
