@@ -44,6 +44,12 @@ def derive_totals(avg: DataFrame, key: str | None = config.KEY) -> DataFrame:
     return out.select(*keep)
 
 
+def ratio_medians(df: DataFrame, names: Sequence[str] = tuple(RATIOS), scale: Scale = SCALE, max_rows: int | None = None) -> dict:
+    """{ratio: its exact median over the table}, all in one job (absent where the ratio has no value)."""
+    ratios = df.select(*[safe_ratio(RATIOS[n][0], RATIOS[n][1]).alias(n) for n in names])
+    return medians(ratios, list(names), scale, max_rows=max_rows) if names else {}
+
+
 def with_ratios(
     df: DataFrame,
     names: Sequence[str] = tuple(RATIOS),
@@ -65,7 +71,7 @@ def with_ratios(
         require_columns(df, RATIOS[n][:2])
     raw = df.select("*", *[safe_ratio(RATIOS[n][0], RATIOS[n][1]).alias(n) for n in names]) if names else df
     if fill is None:
-        fill = medians(raw, list(names), scale, max_rows=max_rows) if names else {}
+        fill = ratio_medians(df, names, scale, max_rows)
     cols = []
     for c in raw.columns:
         if c in names:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from hearth import config
 from hearth.operators import regression as R
 from hearth.operators import scoring as SC
+from hearth.operators.features import all_features
 from hearth.plans import sqltext as S
 from hearth.plans.registry import register
-from hearth.plans.views import housing
+from hearth.plans.views import district_inputs, housing
 from hearth.session import materialise, scratch_path
 from hearth.sources.fixtures import districts
 
@@ -43,7 +44,10 @@ def simple_model(train: DataFrame) -> tuple[float, float]:
 def simple_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-row predictions of the one-feature model fitted on the train rows."""
     train, test = R.train_test_split(prepared(spark, sf_dir))
-    slope, intercept = simple_model(train)
+    return simple_predicted(test, *simple_model(train))
+
+
+def simple_predicted(test: DataFrame, slope: float, intercept: float) -> DataFrame:
     pred = R.linear_prediction_column({"median_income": slope}, intercept)
     return test.select("district_id", T, pred.alias("prediction"))
 
@@ -209,6 +213,13 @@ def _fitted(spark: SparkSession, sf_dir: str):
     return model, train, test
 
 
+def _score_all(spark: SparkSession, sf_dir: str, features: list[str]) -> DataFrame:
+    """All districts scored by the pipeline fitted on the train rows, from one copy of the districts."""
+    rows, fill = district_inputs(spark, sf_dir)
+    train, _ = R.train_test_split(R.prepare_features(all_features(rows, fill=fill))[0])
+    return SC.score_batch(R.fit_ols(train, features), rows, fill).select("district_id", "prediction", "violation")
+
+
 @register(
     "ols_fit",
     S.on_housing(
@@ -282,8 +293,7 @@ def scored_sql() -> str:
 @register("score_batch_all_features", scored_sql())
 def q_score_batch_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 11-feature pipeline applied to every district's base inputs, with the broken input rules."""
-    model, _, _ = _fitted(spark, sf_dir)
-    return _round(SC.score_batch(model, districts(spark, sf_dir)).select("district_id", "prediction", "violation"), ["prediction"], 1)
+    return _round(_score_all(spark, sf_dir, FEATS), ["prediction"], 1)
 
 
 # --- the same pipeline with one feature, whose fit SQL can state ------------------------
@@ -355,18 +365,16 @@ def q_input_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every district scored by the fitted one-feature pipeline, with the input rule it breaks, if any."""
-    model, _, _ = _fitted_income(spark, sf_dir)
-    return _round(SC.score_batch(model, districts(spark, sf_dir)).select("district_id", "prediction", "violation"), ["prediction"], 3)
+    return _round(_score_all(spark, sf_dir, ["median_income"]), ["prediction"], 3)
 
 
 SCORED_COLS = ["district_id", *config.BASE_FEATURES, "rooms_per_household", "bedrooms_per_room", "population_per_household", "income_category"]
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All districts scored by the one-feature model fitted on the train rows."""
-    train, _ = R.train_test_split(prepared(spark, sf_dir))
+def _scored(rows: DataFrame, fill: dict, train: DataFrame) -> tuple[DataFrame, tuple[float, float]]:
+    """All districts scored by the one-feature model fitted on the train rows, and that model."""
     slope, intercept = simple_model(train)
-    return SC.score_linear(districts(spark, sf_dir), {"median_income": slope}, intercept)
+    return SC.score_linear(rows, {"median_income": slope}, intercept, fill), (slope, intercept)
 
 
 @register(
@@ -377,7 +385,9 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _round(_scored(spark, sf_dir).select(*SCORED_COLS, "prediction"), ["prediction"])
+    rows, fill = district_inputs(spark, sf_dir)
+    train, _ = R.train_test_split(R.prepare_features(all_features(rows, fill=fill))[0])
+    return _round(_scored(rows, fill, train)[0].select(*SCORED_COLS, "prediction"), ["prediction"])
 
 
 @register(
@@ -397,7 +407,11 @@ FROM (SELECT *, a + b * median_income AS p FROM housing, fit1) s, (SELECT ROUND(
 )
 def q_score_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The comparison price is the mean price in cents (as shown next to a prediction).
-    mean_price = housing(spark, sf_dir).agg(F.round(F.avg(T), 2)).first()[0]
-    test_metrics = R.evaluate_metrics(simple_predictions(spark, sf_dir)).first()
-    out = SC.score_details(_scored(spark, sf_dir), mean_price, metrics={k: test_metrics[k] for k in ("rmse", "r2", "mae")})
+    rows, fill = district_inputs(spark, sf_dir)
+    table = all_features(rows, fill=fill)
+    mean_price = table.agg(F.round(F.avg(T), 2)).first()[0]
+    train, test = R.train_test_split(R.prepare_features(table)[0])
+    scored, model = _scored(rows, fill, train)
+    test_metrics = R.evaluate_metrics(simple_predicted(test, *model)).first()
+    out = SC.score_details(scored, mean_price, metrics={k: test_metrics[k] for k in ("rmse", "r2", "mae")})
     return _round(out, ["prediction", "diff", "diff_pct", "model_rmse", "model_r2", "model_mae"])

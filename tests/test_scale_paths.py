@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.sql import functions as F
 
 from hearth.config import Scale
 from hearth.operators import eda, features as FE, quality as Q, regression as R
@@ -56,3 +57,27 @@ def test_metrics_equal_regression_evaluator(spark, h):
     for name in ("rmse", "mae", "r2"):
         ev = RegressionEvaluator(labelCol="median_house_value", predictionCol="prediction", metricName=name)
         assert m[name] == pytest.approx(ev.evaluate(pred), rel=1e-9)
+
+
+@pytest.mark.parametrize("name", ["score_details", "score_linear", "score_batch", "evaluate_metrics", "all_features"])
+def test_districts_are_built_once_a_query(spark, tmp_path, monkeypatch, name):
+    """Medians, fits, metrics and results read one written copy: none aggregates lineitem again."""
+    from hearth.plans import q_model, views
+    from hearth.plans.registry import queries
+
+    orders = spark.range(1, 60).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), (F.col("id") * 997.5).alias("o_totalprice"))
+    lines = orders.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 5 + 1.0).alias("l_quantity"), (F.col("o_totalprice") / 3).alias("l_extendedprice"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.unionByName(lines.where("l_orderkey % 2 = 0")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    built = []
+
+    def counted(*args):
+        built.append(args)
+        return districts(*args)
+
+    monkeypatch.setattr(views, "districts", counted)
+    monkeypatch.setattr(q_model, "districts", counted)
+    out = queries()[name](spark, str(tmp_path))
+    assert len(built) == 1
+    assert not any("lineitem.parquet" in f or "orders.parquet" in f for f in out.inputFiles())
+    assert out.count() in (1, 59)
