@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 
 from hearth.session import scratch_path
 
-__all__ = ["append_columns", "materialise", "row_key", "text_bytes", "unit_hash"]
+__all__ = ["append_columns", "likely_among", "materialise", "row_key", "text_bytes", "unit_hash"]
+
+#: Most bits of a filter that is broadcast (16 MB).
+FILTER_BITS = 1 << 27
 
 
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -66,3 +69,20 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.concat_ws(
         ":", ident, F.hex(F.xxhash64(F.col(id_col), F.col(text_col))), F.hex(F.hash(F.lit(7), F.col(text_col))),
     )
+
+
+def likely_among(df: DataFrame, wanted: DataFrame, key: str, most: int = FILTER_BITS) -> DataFrame:
+    """Those rows of ``df`` whose ``key`` may be among the keys of ``wanted``, and all whose key is.
+
+    A broadcast bitmap of the keys' hashes, 16 bits a key up to ``most``, keeps the others out of an
+    exchange; beyond that it lets more of them pass, so a join on the key itself still has to follow.
+    ``wanted`` is read twice.
+    """
+    bits = min(most, max(1 << 15, 1 << (16 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + F.lit(1)
+    maps = wanted.select(place.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("__bucket"))
+    maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("__bits"))
+    at = F.bitmap_bit_position("__place").cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    met = df.withColumn("__place", place).join(F.broadcast(maps), F.bitmap_bucket_number("__place") == F.col("__bucket"))
+    return met.where(F.getbit(byte, at % 8) == 1).select(*df.columns)

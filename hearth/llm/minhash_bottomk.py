@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import append_columns, materialise, row_key, text_bytes
+from hearth.llm.common import append_columns, likely_among, materialise, row_key, text_bytes
 from hearth.llm.components import connected_components
 
 K = 64
@@ -292,8 +292,8 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     def sets_of(nodes: DataFrame) -> DataFrame:
         """Whole sets, hashed again from one text of each class: few classes share enough values to need them."""
         wanted = materialise(spark, classes.select("node", "row").join(nodes, "node", "left_semi"), "minhash_wanted")
-        hashed = shingle_sets(texts.select("text", "row").join(wanted, "row").select("node", "text"), "text", shingle_words, k)
-        return hashed.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "hashes")])  # repeated rows
+        once = likely_among(texts.select("text", "row"), wanted, "row").groupBy("row").agg(F.first("text").alias("text"))  # repeated rows
+        return shingle_sets(once.join(wanted, "row").select("node", "text"), "text", shingle_words, k)
 
     linked = connected_components(links(classes, sets_of, percent, k, limit), "a", "b")
     members = materialise(spark, linked.join(classes.select("node", "id"), "node"), "minhash_members")

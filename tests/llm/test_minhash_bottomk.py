@@ -143,3 +143,35 @@ def test_registered_query_equals_its_sql(spark, small_dir):
     df = queries.queries()["op11_minhash_dedup"](spark, small_dir)
     assert sorted(tuple(r) for r in df.collect()) == want
     assert df.where(F.col("component_id") != F.col("doc_id")).count() > 5
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_filter_keeps_every_wanted_key_and_few_others(spark, most):
+    from hearth.llm.common import likely_among
+
+    rows = spark.range(40_000).select("id", F.concat(F.lit("k"), F.col("id")).alias("row"))
+    wanted = rows.where("id % 10 = 0").select("row")
+    kept = {r["id"] for r in likely_among(rows.unionByName(rows.where("id < 20")), wanted, "row", most).collect()}
+    assert kept >= set(range(0, 40_000, 10))
+    assert len(kept) < (7_000 if most > 1 << 15 else 12_000)
+    assert likely_among(rows, wanted.limit(0), "row").count() == 0
+    assert likely_among(rows.where("id < 10").unionByName(rows.where("id < 10")), wanted, "row").count() == 2
+
+
+def test_texts_that_meet_nobody_are_not_exchanged(spark, monkeypatch):
+    """Whole sets are hashed again from the few texts that need them; the others stay where they are."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(60))) for i in range(400)]
+    rows += [(500 + i, rows[i][1] + " tail") for i in range(10)] + [(500, rows[0][1] + " tail")]
+    plans = []
+
+    def watched(df, *args, **kw):
+        if "node" in df.columns and "text" in df.columns:
+            plans.append(df.select("text").distinct().count())
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return shingle_sets(df, *args, **kw)
+
+    shingle_sets = M.shingle_sets
+    monkeypatch.setattr(M, "shingle_sets", watched)
+    assert answer(spark, rows) == sorted(brute(rows), key=repr)
+    assert plans[0] == 20 and "bitmap" in plans[1]
