@@ -19,7 +19,8 @@ once. Pieces carry the bytes before them as context, so all pieces of a text
 count what the whole text does. A label without any text is not learned. The model holds
 one entry per distinct (order + 1)-gram of it, hence is bounded; it is
 broadcast. Texts are lower-cased first. Scoring walks whole texts in blocks of
-``BLOCK`` bytes, so memory does not depend on text length.
+``BLOCK`` bytes, so memory does not depend on text length. Only the lower-cased text
+goes to Python, in an Arrow UDF; the other columns wait in the JVM.
 
 A null text, or one without a letter, is ``und`` with score 0. Without any
 labelled text every text is ``und``. Other columns pass through; columns named
@@ -35,14 +36,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from hearth.llm.common import append_columns, text_bytes, unit_hash
+from hearth.llm.common import text_bytes, unit_hash
 
 UNDETERMINED = "und"
-BLOCK = 1 << 20
+#: Bytes handled at a time; scoring holds some 100 bytes for each.
+BLOCK = 1 << 17
 PIECE = 1 << 12
 RAW_BITS = 8.0
+RESULTS = ["lang_pred", "score", "bits_per_byte"]
 
 
 def gram_codes(raw: np.ndarray, offsets: np.ndarray, order: int, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,24 +226,25 @@ def identify(df: DataFrame, model: PpmModel, text_col: str = "text") -> DataFram
     """``df`` with lang_pred, score (posterior of the winner under equal priors) and bits_per_byte (its code length)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def score(batch: pa.RecordBatch) -> list[pa.Array]:
+    def score(lower: pa.Array, letters: pa.Array) -> pa.Array:
         ppm: PpmModel = shared.value
-        raw, offs = text_bytes(batch.column(batch.schema.get_field_index("__lower")))
-        worded = np.array(batch.column(batch.schema.get_field_index("__letters")).to_pylist(), dtype=bool)
+        raw, offs = text_bytes(lower)
+        worded = np.array(letters.to_pylist(), dtype=bool)
         n = len(offs) - 1
         if not ppm.labels:
-            return [pa.array([UNDETERMINED] * n, pa.string()), pa.array(np.zeros(n)), pa.array([None] * n, pa.float64())]
+            return pa.StructArray.from_arrays([pa.array([UNDETERMINED] * n, pa.string()), pa.array(np.zeros(n)), pa.array([None] * n, pa.float64())], RESULTS)
         bits = ppm.text_bits(raw, offs)
         best = bits.argmin(axis=1)
         least = bits[np.arange(n), best]
         posterior = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
         names = [ppm.labels[i] if ok else UNDETERMINED for i, ok in zip(best, worded, strict=True)]
         per_byte = np.where(worded, least / np.maximum(np.diff(offs), 1), np.nan)
-        return [pa.array(names), pa.array(np.where(worded, posterior, 0.0)), pa.array(per_byte, from_pandas=True)]
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.where(worded, posterior, 0.0)), pa.array(per_byte, from_pandas=True)], RESULTS)
 
-    prepared = df.withColumn("__lower", F.lower(text_col)).withColumn("__letters", has_letter(text_col))
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())]
-    return append_columns(prepared, score, fields, drop=("__lower", "__letters"))
+    # Called non-deterministic, since a filter on the results would else be pushed below them and score every text again.
+    scored = F.arrow_udf(score, "lang_pred string, score double, bits_per_byte double").asNondeterministic()
+    kept = [F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in RESULTS]
+    return df.withColumn("__found", scored(F.lower(text_col), has_letter(text_col))).select(*kept, "__found.*")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

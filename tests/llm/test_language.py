@@ -115,3 +115,21 @@ def test_held_out_accuracy(spark):
     scored = P.identify(docs.where(P.held_out()), m).withColumn("ok", (F.col("lang") == F.col("lang_pred")).cast("double"))
     row = scored.agg(F.avg("ok"), F.min(P.accepted().cast("int"))).first()
     assert row[0] >= 0.99 and row[1] == 1
+
+
+def test_scoring_holds_little_and_sends_only_the_lowered_text_to_python(spark):
+    import tracemalloc
+
+    m = model(spark)
+    raw = np.frombuffer("the house and the dog, über das haus ".encode() * 60_000, np.uint8)
+    tracemalloc.start()
+    m.text_bits(raw, np.array([0, 1000, len(raw)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000
+    rows = [(1, "the house and the dog", "zz", 2.0), (2, "LA MAISON et le chien", None, None), (3, None, "en", 0.5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, SCORE double")
+    out = P.identify(df, m).where(P.accepted()).select("doc_id", "text", "`a.b`")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan  # scored once, the rows themselves stay in the JVM
+    assert sorted(map(tuple, out.collect())) == [(1, "the house and the dog", "zz"), (2, "LA MAISON et le chien", None)]
