@@ -34,11 +34,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What remains of every document without the 400-byte strings that occur elsewhere."""
+    """What remains of every document without the 400-byte strings that occur elsewhere; its words in passages of over 50 words that do."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = suffix_dedup.remove_repeats(docs, length=400)
+    found = suffix_dedup.remove_repeats(docs, length=400, words=51)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.octet_length("kept").cast("long").alias("n_kept"), "n_repeated_words")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,12 +26,16 @@ and is all that is exchanged of texts without repeats.
 Null texts are empty. Texts shorter than ``length`` lose nothing. Rows that
 repeat id and text are separate texts, so they are each other's repeats; their windows
 are gathered once, however many they are. Input columns of any names pass through, but
-for those named like a result (``n_bytes``, ``spans``, ``kept``), which are replaced.
+for those named like a result (``n_bytes``, ``spans``, ``kept``, ``n_repeated_words``), which are replaced.
+
+Passages can also be told by their number of words, whatever their bytes: every word becomes
+``CODE`` bytes of its hash, and the same search finds the strings of ``words`` words that also
+start elsewhere. They are counted, not removed. Words are compared by these 32 bits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import append_columns, materialise, row_key, text_bytes
+from hearth.llm.common import append_columns, likely_among, materialise, row_key, text_bytes
 
 GRAM = 64
 GROUP = 2048
@@ -48,6 +52,9 @@ GROUP = 2048
 PIECE = 1 << 18
 PLACE = 22
 SORT_BYTES = 1 << 21
+CODE = 4
+
+Reader = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 
 def polynomial(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,6 +74,28 @@ def scramble(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def word_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) like text_bytes, with CODE bytes of hash for each word ``[^\\x20\\x09-\\x0D]+`` of the texts."""
+    raw, offs = text_bytes(column)
+    word = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    edge = np.zeros(len(raw) + 1, dtype=bool)
+    edge[offs] = True
+    begin = np.flatnonzero(word & (edge[:-1] | ~np.concatenate([[False], word[:-1]])))
+    end = np.flatnonzero(word & (edge[1:] | ~np.concatenate([word[1:], [False]]))) + 1
+    values, powers, inverses = polynomial(4, PIECE)
+    codes, i = np.empty(len(begin), dtype=np.uint32), 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(end, begin[i] + PIECE, side="right")))
+        data, at = raw[begin[i] : end[j - 1]], begin[i:j] - begin[i]
+        if len(data) >= len(powers):  # a word longer than a piece
+            values, powers, inverses = polynomial(4, len(data))
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(values[data] * powers[: len(data)], out=sums[1:])
+        codes[i:j] = scramble((sums[end[i:j] - begin[i]] - sums[at]) * inverses[at]) >> np.uint64(32)
+        i = j
+    return codes.view(np.uint8), np.searchsorted(begin, offs) * CODE
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` consecutive values, from running minima forth and back within blocks."""
     n = len(values) - width + 1
@@ -125,13 +154,13 @@ class AnchorFinder:
             yield which, begin + start - offsets[which], count, at[first] - begin, grams[at[first]].view(np.int64), np.array(digest, dtype=np.uint64).view(np.int64)
 
 
-def anchors(keyed: DataFrame, text_col: str, length: int) -> DataFrame:
+def anchors(keyed: DataFrame, text_col: str, length: int, read: Reader = text_bytes) -> DataFrame:
     """(a, b, p, n, q, gram, d): text key, first window, number of windows, anchor's distance, gram hash, region digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = AnchorFinder(length)
         for batch in batches:
-            raw, offs = text_bytes(batch.column(2))
+            raw, offs = read(batch.column(2))
             for which, p, n, q, gram, d in finder.find(raw, offs):
                 at = pa.array(which)
                 cols = [batch.column(0).take(at), batch.column(1).take(at), pa.array(p.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(q.astype(np.int32)), pa.array(gram), pa.array(d)]
@@ -265,8 +294,11 @@ MEMBER = "gram long, salt int, salts int, a long, b int, p int, n int, q int, we
 OUTCOME = "a long, b int, p int, n int, gram long, distance int, h long, weight int"
 
 
-def outcome(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
-    """Repeated window runs of complete groups; for salted grams also their windows for the second exchange (with h)."""
+def outcome(table: pa.Table, length: int, step: int = 1) -> Iterator[pa.RecordBatch]:
+    """Repeated window runs of complete groups; for salted grams also their windows for the second exchange (with h).
+
+    Only windows that begin at a multiple of ``step`` go there; nobody asks for the others.
+    """
     get = lambda c: table.column(c).to_numpy()
     n, q, p, weight, salts, gram = get("n").astype(np.int64), get("q").astype(np.int64), get("p"), get("weight"), get("salts"), get("gram")
     regions = table.column("region").to_pylist()
@@ -284,7 +316,7 @@ def outcome(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     mine = weight[row] < 2  # windows of copied regions are known to be repeats
     none = [None] * int(mine.sum())
     yield rows(row[mine], start[mine], count[mine], none, none, none)
-    at, window = np.nonzero(first & (salts > 1)[:, None])
+    at, window = np.nonzero(first & (salts > 1)[:, None] & ((p[:, None] + np.arange(first.shape[1])) % step == 0))
     if len(at):
         values, powers, _ = polynomial(2, length)
         h = np.empty(len(at), np.uint64)
@@ -296,7 +328,7 @@ def outcome(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         yield rows(at, window, np.ones(len(at), np.int64), q[at] - window, h.view(np.int64), known)
 
 
-def resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def resolve(batches: Iterator[pa.RecordBatch], length: int, step: int = 1) -> Iterator[pa.RecordBatch]:
     """outcome() over a stream of members sorted by (gram, salt), a bounded number of whole groups at a time."""
     waiting: list[pa.RecordBatch] = []
     for batch in batches:
@@ -314,7 +346,7 @@ def resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             if cuts[-1] != starts[-1]:
                 cuts.append(int(starts[-1]))
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                yield from outcome(table.slice(lo, hi - lo), length)
+                yield from outcome(table.slice(lo, hi - lo), length, step)
             waiting = table.slice(cuts[-1]).to_batches()
     table = pa.Table.from_batches(waiting) if waiting else None
     if table is not None and table.num_rows:
@@ -323,14 +355,14 @@ def resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         lo = 0
         for s in starts:
             if (s - lo) * 2 * length >= SORT_BYTES or s == table.num_rows:
-                yield from outcome(table.slice(lo, s - lo), length)
+                yield from outcome(table.slice(lo, s - lo), length, step)
                 lo = s
 
 
-def repeated(keyed: DataFrame, text_col: str, length: int, group: int) -> DataFrame:
-    """(a, b, p, n): runs of windows of each text that occur elsewhere."""
+def repeated(keyed: DataFrame, text_col: str, length: int, group: int, read: Reader = text_bytes, step: int = 1) -> DataFrame:
+    """(a, b, p, n): runs of windows of each text, as ``read`` gives it, that occur elsewhere. Complete for multiples of ``step``."""
     spark = keyed.sparkSession
-    every = materialise(spark, anchors(keyed, text_col, length), "anchors")
+    every = materialise(spark, anchors(keyed, text_col, length, read), "anchors")
     # the counts are written first: a join of two plain exchanges is one that adaptive execution can split at hot grams
     twice = materialise(spark, every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"), "shared_grams")
     shared = materialise(spark, every.join(twice, "gram", "left_semi"), "shared_anchors")
@@ -343,10 +375,11 @@ def repeated(keyed: DataFrame, text_col: str, length: int, group: int) -> DataFr
         "gram", F.pmod(F.xxhash64("d"), salts.cast("long")).cast("int").alias("salt"), salts.alias("salts"), "r.*", F.least("copies", F.lit(2)).cast("int").alias("weight")
     )
     wanted = members.groupBy("a", "b").agg(F.collect_list(F.struct("gram", "salt", "salts", "p", "n", "q", "weight")).alias("m"))
+    wanted = materialise(spark, wanted, "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offs = text_bytes(batch.column(2))
+            raw, offs = read(batch.column(2))
             lists = batch.column(3)
             per = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten()
@@ -359,9 +392,10 @@ def repeated(keyed: DataFrame, text_col: str, length: int, group: int) -> DataFr
             cols = [field["gram"], field["salt"], field["salts"], batch.column(0).take(at), batch.column(1).take(at), field["p"], field["n"], field["q"], field["weight"], region]
             yield pa.RecordBatch.from_arrays(cols, names=["gram", "salt", "salts", "a", "b", "p", "n", "q", "weight", "region"])
 
-    regions = keyed.select("a", "b", text_col).join(wanted, ["a", "b"]).mapInArrow(cut, MEMBER)
+    # only texts that may be wanted are exchanged
+    regions = likely_among(keyed.select("a", "b", text_col), wanted, "a").join(wanted, ["a", "b"]).mapInArrow(cut, MEMBER)
     dealt = regions.repartition("gram", "salt").sortWithinPartitions("gram", "salt")
-    sorted_ = materialise(spark, dealt.mapInArrow(lambda batches: resolve(batches, length), OUTCOME), "suffix_sorted")
+    sorted_ = materialise(spark, dealt.mapInArrow(lambda batches: resolve(batches, length, step), OUTCOME), "suffix_sorted")
     found = sorted_.where("h is null").select("a", "b", "p", "n")
     across = sorted_.where("h is not null")
     agreed = across.groupBy("gram", "distance", "h").agg(F.sum("weight").alias("w"), F.count("*").alias("c")).where("w > 1 and c > 1").select("gram", "distance", "h")
@@ -383,30 +417,50 @@ def removed_spans(windows, length: int) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, group: int = GROUP) -> DataFrame:
-    """``df`` with n_bytes, spans (removed byte ranges) and kept (the remaining bytes)."""
+def repeated_words(keyed: DataFrame, text_col: str, words: int, group: int) -> DataFrame:
+    """(a, b, p, n): runs of strings of ``words`` words of each text that occur elsewhere; p is a word's number."""
+    found = repeated(keyed, text_col, words * CODE, group, word_codes, CODE)
+    first = F.ceil(F.col("p") / CODE).cast("int")  # strings of codes that begin inside a code are none of words
+    last = F.floor((F.col("p") + F.col("n") - 1) / CODE).cast("int")
+    return found.select("a", "b", first.alias("p"), (last - first + 1).alias("n")).where("n > 0")
+
+
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, group: int = GROUP, words: int = 0) -> DataFrame:
+    """``df`` with n_bytes, spans (removed byte ranges) and kept (the remaining bytes).
+
+    With ``words``, also n_repeated_words: the words covered by a string of that many words that also starts anywhere else.
+    """
     if length <= GRAM:
         raise ValueError(f"length must be more than {GRAM}")
+    if words and words * CODE <= GRAM:
+        raise ValueError(f"words must be more than {GRAM // CODE}, or 0")
     key = row_key(id_col, text_col)
     keyed = df.withColumn("a", F.xxhash64(key)).withColumn("b", F.hash(F.lit(9), key)) if not {"a", "b"} & {c.lower() for c in df.columns} else None
     if keyed is None:
         renamed = df.withColumnsRenamed({c: f"__{c}" for c in df.columns if c.lower() in ("a", "b")})
         back = {f"__{c}": c for c in df.columns if c.lower() in ("a", "b")}
         names = {v: k for k, v in back.items()}
-        return remove_repeats(renamed, names.get(id_col, id_col), names.get(text_col, text_col), length, group).withColumnsRenamed(back)
-    windows = repeated(keyed, text_col, length, group).distinct().groupBy("a", "b").agg(F.collect_list(F.struct("p", "n")).alias("__w"))
+        return remove_repeats(renamed, names.get(id_col, id_col), names.get(text_col, text_col), length, group, words).withColumnsRenamed(back)
+    runs_ = repeated(keyed, text_col, length, group).withColumn("w", F.lit(False))
+    if words:
+        runs_ = runs_.unionByName(repeated_words(keyed, text_col, words, group).withColumn("w", F.lit(True)))
+    windows = runs_.distinct().groupBy("a", "b").agg(F.collect_list(F.struct("p", "n", "w")).alias("__w"))
     joined = keyed.join(windows, ["a", "b"], "left").drop("a", "b")
 
     def finish(batch: pa.RecordBatch) -> list[pa.Array]:
         column = lambda name: batch.column(batch.schema.get_field_index(name))
         raw, offs = text_bytes(column(text_col))
-        spans, kept = [], []
+        spans, kept, covered = [], [], []
         for begin, end, found in zip(offs[:-1].tolist(), offs[1:].tolist(), column("__w").to_pylist(), strict=True):
-            cuts = removed_spans([(w["p"], w["n"]) for w in found], length) if found else []
+            cuts = removed_spans([(w["p"], w["n"]) for w in found if not w["w"]], length) if found else []
+            covered.append(sum(e - s for s, e in removed_spans([(w["p"], w["n"]) for w in found if w["w"]], words)) if found else 0)
             spans.append([{"start": s, "end": e} for s, e in cuts])
             edges = [0, *(x for c in cuts for x in c), end - begin]
             kept.append(b"".join(raw[begin + s : begin + e].tobytes() for s, e in zip(edges[::2], edges[1::2], strict=True)))
-        return [pa.array(np.diff(offs)), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())]
+        columns = [pa.array(np.diff(offs)), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary()), pa.array(covered, pa.int64())]
+        return columns[: len(fields)]
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("spans", SPAN), T.StructField("kept", T.BinaryType())]
+    if words:
+        fields.append(T.StructField("n_repeated_words", T.LongType()))
     return append_columns(joined, finish, fields, drop=("__w",))

@@ -1,8 +1,12 @@
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from hearth.llm import queries
 from hearth.llm import suffix_dedup as D
 
 LENGTH = 80
@@ -118,3 +122,67 @@ def test_many_equal_rows_stay_linear(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r["doc_id"], r["n_bytes"], len(r["kept"])) for r in D.remove_repeats(df, length=LENGTH).collect()}
     assert got == {(1, 1500, 0), (2, 750, 50), (3, 70, 70)}
+
+
+def brute_words(texts, words):
+    split = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for t in texts]
+    seen = Counter(tuple(w[p : p + words]) for w in split for p in range(len(w) - words + 1))
+    covered = [{p + i for p in range(len(w) - words + 1) if seen[tuple(w[p : p + words])] > 1 for i in range(words)} for w in split]
+    return [len(c) for c in covered]
+
+
+@pytest.mark.parametrize("piece", [D.PIECE, 16])
+def test_word_codes_are_equal_for_equal_words(monkeypatch, piece):
+    monkeypatch.setattr(D, "PIECE", piece)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("abé \t\n.") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    texts += [None, "", " ", "a", "aé " * 3, "x" * 4000 + " y " + "x" * 4000]
+    codes, offsets = D.word_codes(pa.array(texts, pa.string()))
+    of_word = {}
+    for i, t in enumerate(texts):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())
+        found = codes[offsets[i] : offsets[i + 1]].view(np.uint32).tolist()
+        assert len(found) == len(words)
+        assert all(of_word.setdefault(w, c) == c for w, c in zip(words, found, strict=True))
+    assert len(set(of_word.values())) == len(of_word) > 300
+    rest, _ = D.word_codes(pa.array(texts, pa.string())[5:])
+    assert (rest == codes[offsets[5] :]).all()
+
+
+def test_passages_of_words_under_the_byte_length(spark):
+    rng = random.Random(8)
+    some = lambda n: [rng.choice("éab") + str(rng.randint(0, 999)) for _ in range(n)]
+    passages = [some(60), some(51), some(50), ["é"] * 53]
+    texts = [" ".join(some(rng.randint(0, 40)) + passages[i % 4] + some(rng.randint(0, 40))) for i in range(24)]
+    texts = [t.replace(" ", "\n \t") if i % 5 == 0 else t for i, t in enumerate(texts)]  # blanks are not compared
+    texts += [" ".join(some(70)) for _ in range(6)] + ["b " * 90, texts[3], None, "", " ", "x" * 300, " ".join(passages[0])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(D.remove_repeats(df, length=400, words=51).collect(), key=lambda r: r["doc_id"])
+    expected = brute_words(texts, 51)
+    assert [r["n_repeated_words"] for r in rows] == expected
+    assert expected[0] == 60 and expected[1] == 51 and expected[2] == 0 and expected[24:30] == [0] * 6
+    whole = brute(texts, 400)
+    assert [(r["n_bytes"], [(s["start"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in rows] == whole
+    assert sum(e > 0 and not s for e, (_, s, _) in zip(expected, whole, strict=True)) > 5  # seen, though nothing has to go
+
+
+def test_passages_of_words_over_salted_groups(spark):
+    rng = random.Random(9)
+    passage = [f"p{rng.randint(0, 99)}" for _ in range(90)]
+    texts = [" ".join([f"k{rng.randint(0, 99)}" for _ in range(20)] + passage[rng.randint(0, 25) : 90 - rng.randint(0, 25)] + [f"q{rng.randint(0, 99)}" for _ in range(20)]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(D.remove_repeats(df, length=400, group=4, words=51).collect(), key=lambda r: r["doc_id"])
+    assert [r["n_repeated_words"] for r in rows] == brute_words(texts, 51)
+
+
+def test_too_few_words_are_refused(spark):
+    with pytest.raises(ValueError, match="words"):
+        D.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), words=16)
+
+
+def test_query_reports_passages_of_over_50_words(spark, tmp_path):
+    passage = " ".join(f"w{i}" for i in range(55))  # 219 bytes: stays, by the contract
+    rows = [(1, f"one {passage} here"), (2, f"two {passage}"), (3, " ".join(f"v{i}" for i in range(80))), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: (r["n_removed"], r["n_repeated_words"]) for r in queries.op3_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert found == {1: (0, 55), 2: (0, 55), 3: (0, 0), 4: (0, 0)}
